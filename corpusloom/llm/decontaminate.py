@@ -4,9 +4,10 @@ Text and items are compared lower-cased with each run of white space as one spac
 item of n characters may be found with k = floor(n * error_rate) edits. It is split
 into k+1 pieces; by the pigeonhole principle every occurrence with at most k edits
 has a piece unchanged. All pieces of all items are searched for at once with an
-Aho-Corasick automaton over each whole document, and around every hit Myers'
-bit-parallel algorithm, on Python's long integers, gives the least edit distance of
-the item to any part of the window.
+Aho-Corasick automaton over each whole document. Around every hit Myers' bit-parallel
+algorithm, on Python's long integers, gives the least edit distance to any part of the
+window: first of two or three neighbouring pieces to their share of the budget, which
+ends most accidental hits, then of ever larger parts up to the whole item.
 
 Documents are read once and never shuffled. The items' pieces are sent to the tasks in
 blocks of at most BLOCK_CHARS characters of items; more items mean more blocks, each of
@@ -82,16 +83,42 @@ def myers(n: int, peq: dict[str, int], text: str) -> tuple[int, int]:
     return best, at
 
 
+def ladder(item: str, parts: list[tuple[int, str]]) -> list[list[tuple[int, int, int, dict[str, int]]]]:
+    """For each piece, the nodes above it, lowest first: (offset, length, budget, masks).
+
+    A node of c pieces may have c-1 edits and is split into halves; if it has no more,
+    one of its halves keeps its own budget too. So an occurrence of the item shows at
+    some piece exactly and at every node above that piece within its budget.
+    """
+    out: list[list] = [[] for _ in parts]
+
+    def split(first: int, last: int) -> None:
+        if last - first < 2:
+            return
+        start = parts[first][0]
+        end = parts[last - 1][0] + len(parts[last - 1][1])
+        middle = (first + last) // 2
+        split(first, middle)
+        split(middle, last)
+        node = (start, end - start, last - first - 1, masks(item[start:end]))
+        for p in range(first, last):
+            out[p].append(node)
+
+    split(0, len(parts))
+    return out
+
+
 class Matcher:
     """Finds all items of a block in texts."""
 
     def __init__(self, items: list[tuple[object, str]], error_rate: float):
-        self.items = [(i, t, budget(t, error_rate), masks(t)) for i, t in items if t]
+        self.items = [(i, t, budget(t, error_rate)) for i, t in items if t]
         self.automaton = ahocorasick.Automaton()
-        owners: dict[str, list[tuple[int, int]]] = {}
-        for n, (_, t, k, _) in enumerate(self.items):
-            for offset, piece in pieces(t, k):
-                owners.setdefault(piece, []).append((n, offset))
+        owners: dict[str, list[tuple[int, int, list]]] = {}
+        for n, (_, t, k) in enumerate(self.items):
+            parts = pieces(t, k)
+            for (offset, piece), above in zip(parts, ladder(t, parts)):
+                owners.setdefault(piece, []).append((n, offset, above))
         for piece, own in owners.items():
             self.automaton.add_word(piece, (len(piece), own))
         if owners:
@@ -101,32 +128,27 @@ class Matcher:
         """(item, least distance) of the items that are in the folded text."""
         if not text or not self.items:
             return []
-        near: dict[int, list[int]] = {}
+        best: dict[int, int] = {}
         for end, (length, own) in self.automaton.iter(text):
-            for n, offset in own:
-                near.setdefault(n, []).append(end + 1 - length - offset)
-        out = []
-        for n, starts in near.items():
-            item, t, k, peq = self.items[n]
-            if not k:
-                if len(t) >= LEAST_CHARS or f" {t} " in f" {text} ":
-                    out.append((item, 0))
-                continue
-            if t in text:
-                out.append((item, 0))
-                continue
-            best = k + 1
-            starts.sort()
-            lo = hi = None
-            for s in [*starts, None]:  # hits whose windows overlap make one window
-                if lo is not None and (s is None or s - k > hi):
-                    best = min(best, myers(len(t), peq, text[max(0, lo) : hi])[0])
-                    lo = None
-                if s is not None:
-                    lo, hi = (s - k if lo is None else lo), s + len(t) + k
-            if best <= k:
-                out.append((item, best))
-        return out
+            for n, offset, above in own:
+                _, t, k = self.items[n]
+                if best.get(n) == 0:
+                    continue
+                start = end + 1 - length - offset  # of the item, if nothing shifts it
+                if not k:
+                    if len(t) >= LEAST_CHARS or f" {t} " in f" {text} ":
+                        best[n] = 0
+                elif start >= 0 and text.startswith(t, start):
+                    best[n] = 0
+                else:
+                    d = k + 1
+                    for at, size, most, peq in above:
+                        d = myers(size, peq, text[max(0, start + at - most) : start + at + size + most])[0]
+                        if d > most:
+                            break
+                    else:
+                        best[n] = min(d, best.get(n, d))
+        return [(self.items[n][0], d) for n, d in best.items()]
 
 
 def _matches(items, error_rate):
