@@ -25,6 +25,8 @@ import os
 import struct
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -116,10 +118,20 @@ class TokenFile:
         return self.ids[a:b]
 
 
+def plain(text: bytes) -> bytes:
+    """text with A-Z lowered where that cannot change its ids: the tokenizer lowers it
+    too, but after composing letters with the marks U+0300 to U+037F, and its special
+    tokens are told from others by case."""
+    return text if b"\xcc" in text or b"\xcd" in text or b"<|" in text else text.lower()
+
+
 class WordIds(dict):
-    """word -> place in a table of ids, filled by encoding each new word once."""
+    """word -> place in a table of ids, filled by encoding each new word once.
+
+    A worker process keeps one for all its tasks; at most words it starts anew.
+    """
 
-    def __init__(self, path: str, most: int = 1 << 19):
+    def __init__(self, path: str, most: int = 1 << 20):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -129,7 +141,7 @@ class WordIds(dict):
     def reset(self) -> None:
         self.clear()
         self.new: list[bytes] = []
-        self.lengths, self.flat = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.starts, self.flat = np.zeros(1, np.int64), np.zeros(0, np.int32)
 
     def __missing__(self, word: bytes) -> int:
         i = self[word] = len(self)
@@ -137,13 +149,15 @@ class WordIds(dict):
         return i
 
     def fill(self, step: int = 10_000) -> None:
-        lengths, flat = [self.lengths], [self.flat]
+        lengths, flat = [], [self.flat]
         for i in range(0, len(self.new), step):
-            got = [e.ids for e in self.tokenizer.encode_batch([w.decode() for w in self.new[i : i + step]], add_special_tokens=False)]
+            got = [e.ids for e in self.tokenizer.encode_batch_fast([w.decode() for w in self.new[i : i + step]], add_special_tokens=False)]
             lengths.append(np.fromiter(map(len, got), np.int64, len(got)))
-            flat.append(np.fromiter((x for ids in got for x in ids), np.int64, int(lengths[-1].sum())))
-        self.new = []
-        self.lengths, self.flat = np.concatenate(lengths), np.concatenate(flat)
+            flat.append(np.fromiter(chain.from_iterable(got), np.int32, int(lengths[-1].sum())))
+        if self.new:
+            self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(np.concatenate(lengths))])
+            self.flat = np.concatenate(flat)
+            self.new = []
 
     def encode(self, texts: list[bytes], end: int | None) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, how many each has); end closes each text."""
@@ -151,32 +165,39 @@ class WordIds(dict):
             self.reset()
         parts = []
         for b in texts:
-            own = b.split()
-            at = np.full(len(own) + (end is not None), -1, np.int64)
-            at[: len(own)] = np.fromiter(map(self.__getitem__, own), np.int64, len(own))
+            own = plain(b).split()
+            at = np.full(len(own) + (end is not None), -1, np.int32)
+            at[: len(own)] = np.fromiter(map(self.__getitem__, own), np.int32, len(own))
             parts.append(at)
         self.fill()
         at = np.concatenate(parts)
-        lengths = np.append(self.lengths, 1)[at]  # -1: the end
-        starts = np.append(np.cumsum(self.lengths) - self.lengths, len(self.flat))[at]
+        # the end stands after all words' ids, so place -1 is found there
+        starts = np.append(self.starts, self.starts[-1] + 1)
+        at[at < 0] = len(starts) - 2
+        first = starts[at]
+        lengths = starts[at + 1] - first
         total = np.cumsum(lengths)
-        gather = np.repeat(starts - (total - lengths), lengths) + np.arange(int(total[-1]) if len(total) else 0)
-        ids = np.append(self.flat, -1 if end is None else end)[gather]
-        cuts = np.cumsum([0, *map(len, parts)])
-        sums = np.concatenate([[0], total])[cuts]
+        gather = np.repeat(first - (total - lengths), lengths)
+        gather += np.arange(len(gather))
+        ids = np.append(self.flat, np.int32(-1 if end is None else end))[gather]
+        sums = np.concatenate([[0], total])[np.cumsum([0, *map(len, parts)])]
         return ids, np.diff(sums)
 
 
+@lru_cache(maxsize=1)
+def word_ids(path: str) -> WordIds:
+    return WordIds(path)
+
+
 def _write(folder: str, tokenizer: str):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        part, vocabulary = TaskContext.get().partitionId(), None
+        part = TaskContext.get().partitionId()
         names, counts, ids = [], [], []
         for batch in batches:
             for first, texts in W.steps(batch, "text"):
-                vocabulary = vocabulary or WordIds(tokenizer)
-                own, n = vocabulary.encode(texts, END_ID)
+                own, n = word_ids(tokenizer).encode(texts, END_ID)
                 ids.append(own.astype(np.uint16 if own.max() < 1 << 16 else np.uint32))
                 counts.append(n)
                 names += [NO_ID if x is None else x for x in batch.column("doc_id").slice(first, len(texts)).to_pylist()]
