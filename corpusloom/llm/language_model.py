@@ -36,7 +36,9 @@ from corpusloom.llm import words as W
 from corpusloom.llm.packed import bucket_of, dealt, pack, pack_sorted, unpack, unpack_sorted
 from corpusloom.session import table, written
 
-BLOCK = 12 << 20
+BLOCK = 14 << 20
+#: Tokens whose probabilities are computed at once.
+SLICE = 1 << 18
 FOLDS, HELD_OUT, DELETED = 10, 0, 1
 CONTEXT_BUCKETS = 16
 #: Bins of a log-ratio: quarters of a bit, up to 2**±RANGE.
@@ -64,6 +66,11 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         nonlocal seq
         hashes = np.concatenate([[END], np.fromiter(map(xxhash.xxh3_64_intdigest, local), np.uint64, len(local))]).astype(np.uint64)
         flat = np.concatenate(parts)
+        # frequent words get small ids, which compress; the end stays 0
+        often = np.argsort(-np.bincount(flat, minlength=len(hashes))[1:], kind="stable") + 1
+        place = np.zeros(len(hashes), np.int32)
+        place[often] = np.arange(1, len(hashes))
+        flat, hashes = place[flat], hashes[np.append(0, often)]
         cells = [first + seq, ids, pack(np.array(folds, np.int8)), pack(np.array(counts, np.int64)), pack(hashes), pack(flat), len(hashes) + len(flat)]
         kinds = [pa.int64(), pa.list_(pa.int64()), *[pa.binary()] * 4, pa.int64()]
         seq += 1
@@ -99,6 +106,14 @@ class _Block:
         self.before, self.width = before, int(self.ids.max()) + 1
         self.fold = np.repeat(self.folds, self.counts)
 
+    def slices(self) -> Iterator[tuple[int, int, slice]]:
+        """(first document, last, their tokens), about SLICE tokens at a time."""
+        i, ends = 0, self.starts + self.counts
+        while i < len(ends):
+            j = max(i + 1, int(np.searchsorted(ends, self.starts[i] + SLICE, side="right")))
+            yield i, j, slice(int(self.starts[i]), int(ends[j - 1]))
+            i = j
+
     def pairs(self):
         """Distinct (before, token) as one number, and each token's place among them."""
         return np.unique(self.before * self.width + self.ids, return_inverse=True)
@@ -195,7 +210,7 @@ def context_bucket(count: np.ndarray) -> np.ndarray:
 
 
 class _Estimates:
-    """The tokens' three estimates, from all training counts or without the deleted."""
+    """What the tokens' estimates need, from all training counts or without the deleted."""
 
     def __init__(self, row: dict, totals: dict, base: bool):
         self.block = block = _Block(row)
@@ -203,13 +218,12 @@ class _Estimates:
         minus = 1 if base else 0
         one = unpack(row["one_train"], np.int64) - minus * unpack(row["one_deleted"], np.int64)
         two = unpack(row["two_train"], np.int64) - minus * unpack(row["two_deleted"], np.int64)
-        n, v, docs = (totals[k] for k in (("base_tokens", "base_types", "base_docs") if base else ("tokens", "types", "docs")))
+        v, docs = (totals[k] for k in (("base_types", "base_docs") if base else ("types", "docs")))
         self.count = one[block.ids]
         self.context = np.where(block.before == 0, docs, one[block.before])
         self.p0 = 1 / (v + 1)
-        self.p1 = self.count / max(n, 1)
         self.p2 = two[at] / np.maximum(self.context, 1)
-        self.bucket = context_bucket(self.context)
+        self.bucket = context_bucket(self.context).astype(np.int8)
 
 
 def _bin(p: np.ndarray, p0: float) -> np.ndarray:
@@ -224,7 +238,7 @@ def _histogram(totals: dict):
             for row in batch.to_pylist():
                 e = _Estimates(row, totals, True)
                 own = e.block.fold == DELETED
-                cells = np.stack([e.bucket[own], _bin(e.p1[own], e.p0), _bin(e.p2[own], e.p0)])
+                cells = np.stack([e.bucket[own], _bin(e.count[own] / max(totals["base_tokens"], 1), e.p0), _bin(e.p2[own], e.p0)])
                 cells, n = np.unique(cells, axis=1, return_counts=True)
                 yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in cells), pa.array(n, pa.int64())], names=["bucket", "one", "two", "n"])
 
@@ -269,11 +283,13 @@ def _scores(totals: dict, weights: list[list[float]]):
             for row in batch.to_pylist():
                 e = _Estimates(row, totals, False)
                 n, v = totals["tokens"], totals["types"]
-                a = w[e.bucket]
-                p = a[:, 0] * e.p0 + a[:, 1] * e.p1 + a[:, 2] * e.p2
-                add = lambda x: np.add.reduceat(x, e.block.starts)
-                base = np.log10((e.count + 0.1) / (n + 0.1 * (v + 1)))
-                columns = [(row["doc_id"], pa.int64()), (e.block.folds == HELD_OUT, pa.bool_()), (e.block.counts, pa.int64()), (add((e.count > 0).astype(np.int64)), pa.int64()), (np.full(len(e.block.counts), n), pa.int64()), (add(base), pa.float64()), (add(np.log10(p)), pa.float64())]
+                known, base, score = (np.zeros(len(e.block.counts), t) for t in (np.int64, float, float))
+                for i, j, own in e.block.slices():
+                    a, c = w[e.bucket[own]], e.count[own]
+                    p = a[:, 0] * e.p0 + a[:, 1] * c / max(n, 1) + a[:, 2] * e.p2[own]
+                    for out, x in ((known, (c > 0).astype(np.int64)), (base, np.log10((c + 0.1) / (n + 0.1 * (v + 1)))), (score, np.log10(p))):
+                        out[i:j] = np.add.reduceat(x, e.block.starts[i:j] - own.start)
+                columns = [(row["doc_id"], pa.int64()), (e.block.folds == HELD_OUT, pa.bool_()), (e.block.counts, pa.int64()), (known, pa.int64()), (np.full(len(known), n), pa.int64()), (base, pa.float64()), (score, pa.float64())]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in columns], names=SCORED)
 
     return scores
