@@ -158,13 +158,16 @@ def _answers(rows: pa.Table) -> pa.Table:
     hs = [unpack_sorted(c.as_py()) for c in rows["hashes"]]
     sizes = [len(h) for h in hs]
     known, at = np.unique(np.concatenate(hs), return_inverse=True)
-    sums = [np.bincount(at, np.concatenate([unpack(c.as_py(), np.uint32) for c in rows[name]]), len(known)).astype(np.int64) for name in ("train", "deleted")]
+    own = [np.concatenate([unpack(c.as_py(), np.uint32) for c in rows[name]]) for name in ("train", "deleted")]
+    sums = [np.bincount(at, x, len(known)).astype(np.int64) for x in own]
     first = rows["order"][0].as_py() == 1
     base = sums[0] - sums[1]
     stats = np.zeros((4, len(sizes)), np.int64)
     if first:
         stats[:, 0] = sums[0].sum(), (sums[0] > 0).sum(), base.sum(), (base > 0).sum()
-    cells = [[pack(s[x]) for x in np.split(at, np.cumsum(sizes)[:-1])] for s in sums]
+    # deleted counts serve the deleted fold's own tokens only; elsewhere 0 does
+    answers = (sums[0][at], np.where(own[1] > 0, sums[1][at], 0))
+    cells = [[pack(x) for x in np.split(a, np.cumsum(sizes)[:-1])] for a in answers]
     return pa.table({"block": rows["block"], "order": rows["order"], "bucket": rows["bucket"], "train": pa.array(cells[0], pa.binary()), "deleted": pa.array(cells[1], pa.binary())} | {n: pa.array(s) for n, s in zip(STATS, stats)})
 
 

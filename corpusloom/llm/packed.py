@@ -17,7 +17,7 @@ def pack(a: np.ndarray) -> bytes:
     """a with its bytes by significance (which makes them compressible) under zstd."""
     a = np.ascontiguousarray(a)
     planes = a.view(np.uint8).reshape(len(a), a.dtype.itemsize).T.tobytes() if len(a) else b""
-    return np.int64(len(a)).tobytes() + (pa.compress(planes, codec="zstd", asbytes=True) if planes else b"")
+    return np.int64(len(a)).tobytes() + (pa.Codec("zstd", compression_level=3).compress(planes, asbytes=True) if planes else b"")
 
 
 def unpack(cell: bytes, dtype) -> np.ndarray:
