@@ -63,6 +63,17 @@ def written(df: DataFrame, name: str, partition_by: list[str] | None = None) ->
     return spark.read.schema(df.schema).parquet(path)
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers on this machine import the package from where the driver has
+    it; executors elsewhere get it by --py-files."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    paths = env.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the provided Parquet tables."""
+    importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
