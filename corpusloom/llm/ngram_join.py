@@ -15,11 +15,12 @@ parts are equally weak. Which shingles count as common is read from a table of
 2**CELL_BITS counters, the same for all tasks; it may err without harm.
 
 Sets that share a signature are candidates. Round one compares each with the least set
-of its signature only, and verified links make components; round two compares, inside
-a signature, sets that are still in different components, by size and by a histogram
-whose distance bounds the sets' difference from below, and verifies what is left.
-Members of one component need no further comparison, so a group of copies costs its
-size, not its square. Signatures with many members are dealt to pairs of chunks.
+of its signature only, and verified links make components. The next rounds compare,
+inside a signature, sets that are still in different components, by size and by a
+histogram whose distance bounds the sets' difference from below: first each component
+and its nearest one, then all that are left. Members of one component need no further
+comparison, so a group of copies costs its size, not its square. Signatures with many
+members are dealt to pairs of chunks. Texts of candidates are sent to be verified.
 
 Defined results: a null or empty text, or one without words, has an empty set and is
 linked with nothing; repeated rows share a class; documents with null ids are matched
@@ -30,7 +31,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
@@ -51,6 +52,9 @@ CELL_BITS, CELL_CHUNKS = 20, 16
 COMMON_TIMES, LEAST_COMMON = 8, 64
 BINS = 128
 CHUNK = 2000
+#: Rounds that compare each component with its nearest one only, before the last.
+NEAREST_ROUNDS = 3
+BROADCAST_BYTES = 8 << 20
 NO_ID = -(1 << 63)
 BLOCK_SIGNATURES = 1 << 21
 ENTRIES = 1 << 21
@@ -210,28 +214,40 @@ def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield batch.select(["a", "b"]).filter(pa.array(keep))
 
 
-def _pairs_within(rows: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+def _pairs_within(rows: pa.RecordBatch, nearest: bool) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of one group of (node, component, side, n, histogram) that may be linked:
-    of different components and, where the group joins two chunks, of different sides."""
+    of different components and, where the group joins two chunks, of different sides.
+    nearest: of each component only the pair with the least distance of histograms."""
     node, comp, side, n = (rows.column(c).to_numpy() for c in ("node", "component", "side", "n"))
     hist = _histograms(rows.column("histogram"))
-    by = np.argsort(n, kind="stable")
-    node, comp, side, n, hist = node[by], comp[by], side[by], n[by], hist[by]
-    two, left, right = side.min() != side.max(), [], []
+    by = np.lexsort((node, n))
+    node, comp, side, n, hist = node[by], comp[by], side[by], n[by], hist[by].astype(np.int16)
+    two, left, right, apart = side.min() != side.max(), [], [], []
+    full = hist.max(1) == 255  # a full bin bounds nothing
     tops = np.searchsorted(n, n * 100 // PERCENT, side="right")
     for i in range(len(node) - 1):
         j = np.arange(i + 1, tops[i])
         j = j[(comp[j] != comp[i]) & ((side[j] != side[i]) if two else True)]
         if len(j):
-            j = j[~far(hist[i], hist[j], n[i], n[j])]
-            left.append(np.minimum(node[i], node[j]))
-            right.append(np.maximum(node[i], node[j]))
+            d = np.abs(hist[j] - hist[i]).sum(1)
+            near = (d <= (n[i] + n[j]) * (100 - PERCENT) // (100 + PERCENT)) | full[j] | full[i]
+            left.append(np.full(int(near.sum()), i))
+            right.append(j[near])
+            apart.append(d[near])
     if not left:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    return np.concatenate(left), np.concatenate(right)
-
-
-def _cross(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    left, right = np.concatenate(left), np.concatenate(right)
+    if nearest and len(left):
+        ends, both = np.concatenate([comp[left], comp[right]]), np.tile(np.arange(len(left)), 2)
+        order = np.lexsort((both, np.tile(np.concatenate(apart), 2), ends))
+        first = np.append(True, ends[order][1:] != ends[order][:-1])
+        pick = np.unique(both[order[first]])
+        left, right = left[pick], right[pick]
+    x, y = node[left], node[right]
+    return np.minimum(x, y), np.maximum(x, y)
+
+
+def _cross(nearest: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by (sig, lo, hi), all of a group in one task -> candidate pairs (a, b)."""
     kept: list[pa.RecordBatch] = []
 
@@ -244,7 +260,7 @@ def _cross(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for i in range(upto):
             part = table.slice(cuts[i], cuts[i + 1] - cuts[i])
             if part.num_rows > 1:
-                x, y = _pairs_within(part)
+                x, y = _pairs_within(part, nearest)
                 a.append(x)
                 b.append(y)
         pairs = np.unique(np.stack([np.concatenate(a), np.concatenate(b)]), axis=1) if a else np.zeros((2, 0), np.int64)
@@ -258,30 +274,47 @@ def _cross(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield done(pa.Table.from_batches(kept).combine_chunks(), True)[0]
 
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    vocabulary = W.Words()
+def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(text) -> (node, the text compressed), once for each node of the task."""
+    vocabulary, seen = W.Words(), set()
     for batch in batches:
         for _, texts in W.steps(batch, "text"):
             h, sizes = W.shingle_sets(texts, vocabulary, SHINGLE)
-            parts = np.split(h, np.cumsum(sizes)[:-1])
-            yield pa.RecordBatch.from_arrays([pa.array([node_of(p) for p in parts], pa.int64()), pa.array([p.tobytes() for p in parts], pa.binary())], names=["node", "shingles"])
+            rows = [(node_of(p), b) for p, b in zip(np.split(h, np.cumsum(sizes)[:-1]), texts)]
+            rows = [(n, np.int64(len(b)).tobytes() + pa.compress(b, codec="zstd", asbytes=True)) for n, b in rows if n not in seen]
+            seen.update(n for n, _ in rows)
+            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())], names=["node", "text"])
 
 
 def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(a, b, sa, sb) -> (a, b) whose sets are similar enough."""
+    """(a, b, ta, tb) -> (a, b) whose texts' sets are similar enough."""
+    vocabulary = W.Words()
+
+    @lru_cache(maxsize=64)
+    def shingles(cell: bytes) -> np.ndarray:
+        text = pa.decompress(cell[8:], decompressed_size=int(np.frombuffer(cell[:8], np.int64)[0]), codec="zstd", asbytes=True)
+        return W.shingle_sets([text], vocabulary, SHINGLE)[0]
+
     for batch in batches:
         keep = []
-        for x, y in zip(batch.column("sa"), batch.column("sb")):
-            x, y = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
+        for x, y in zip(batch.column("ta"), batch.column("tb")):
+            x, y = shingles(x.as_py()), shingles(y.as_py())
             both = len(x) + len(y) - len(np.union1d(x, y))
             keep.append(100 * both >= PERCENT * (len(x) + len(y) - both))
         yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
-    right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(_linked, "a long, b long")
+def _bounded(df: DataFrame, row_bytes: int) -> DataFrame:
+    """df, to be broadcast if its rows are counted to fit in BROADCAST_BYTES."""
+    return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df
+
+
+def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs that are linked. Each pair's two texts meet in one shuffle on the pair."""
+    sent = _bounded(pairs, 32)
+    left = texts.select(F.col("node").alias("a"), F.col("text").alias("ta")).join(sent, "a")
+    right = texts.select(F.col("node").alias("b"), F.col("text").alias("tb")).join(sent, "b")
+    return left.join(right, ["a", "b"]).select("a", "b", "ta", "tb").mapInArrow(_linked, "a long, b long")
 
 
 def profiles(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, bytes]:
@@ -302,35 +335,50 @@ def links(docs: DataFrame, of: DataFrame, bits: bytes, doc_id: str = "doc_id", t
     n_buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(total * 0.6 / ENTRIES))
     shared = narrow.mapInArrow(_signed(bits, n_buckets), "bucket int, signatures binary, ids binary").groupBy("bucket").applyInArrow(_shared, "sig long, doc_id long")
     nodes = of.where("n > 0").select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), "node")
-    members = shared.join(nodes, "doc_id").select("sig", "node").distinct()
-    # only signatures of two sets or more; the least member is all that a sig needs to keep
-    members = written(members, "members")
-    least = members.groupBy("sig").agg(F.min("node").alias("a"), F.count(F.lit(1)).alias("members")).where("members > 1")
-    stars = members.join(least, "sig").where("node <> a").select("a", F.col("node").alias("b")).distinct()
-    profile = written(of.where("n > 0").groupBy("node").agg(F.min(F.coalesce("doc_id", F.lit(NO_ID))).alias("doc_id"), F.first("n").alias("n"), F.first("histogram").alias("h")).join(members.select("node").distinct(), "node", "left_semi"), "profile")
+    members = written(shared.join(nodes, "doc_id").select("sig", "node").distinct(), "members")
+    least = members.groupBy("sig").agg(F.min("node").alias("a"), F.count(F.lit(1)).alias("members")).where("members > 1").select("sig", "a")
+    rows = written(members.join(least, "sig"), "shared")
+    of_node = of.where("n > 0").groupBy("node").agg(F.min(F.coalesce("doc_id", F.lit(NO_ID))).alias("doc_id"), F.first("n").alias("n"), F.first("histogram").alias("h"))
+    profile = written(of_node.join(rows.select("node").distinct(), "node", "left_semi"), "profile")
 
     def near(pairs: DataFrame) -> DataFrame:
         left, right = (profile.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("h").alias(f"h{x}")) for x in "ab")
         return pairs.join(left, "a").join(right, "b").select("a", "b", "na", "nb", "ha", "hb").mapInArrow(_near, "a long, b long")
 
-    candidates = written(near(stars), "candidates")
-    chosen = profile.select(F.col("doc_id").alias("__id"))
-    texts = narrow.withColumn("__id", F.coalesce("doc_id", F.lit(NO_ID))).join(chosen.distinct(), "__id", "left_semi").select("text").where(F.length("text") > 0)
-    sets = written(texts.mapInArrow(_sets, "node long, shingles binary").join(profile.select("node"), "node", "left_semi").dropDuplicates(["node"]), "sets")
-    first = written(_verified(candidates, sets), "links")
-
-    # what is still apart after the stars: all pairs of a signature that may be linked
-    label = connected_components(first).withColumnRenamed("component", "label")
-    apart = members.join(label, "node", "left").select("sig", "node", F.coalesce("label", "node").alias("component"))
-    mixed = apart.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("members")).where("lo <> hi").select("sig", F.ceil(F.col("members") / CHUNK).cast("int").alias("chunks"))
-    apart = apart.join(mixed, "sig").join(profile.select("node", "n", F.col("h").alias("histogram")), "node")
-    mine = F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")
-    apart = apart.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    apart = apart.select("sig", F.least("mine", "other").alias("lo"), F.greatest("mine", "other").alias("hi"), "node", "component", F.col("mine").alias("side"), "n", "histogram")
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    crossed = apart.repartition(parts, "sig", "lo", "hi").sortWithinPartitions("sig", "lo", "hi").mapInArrow(_cross, "a long, b long").distinct()
-    more = _verified(crossed.join(candidates, ["a", "b"], "left_anti"), sets)
-    return written(first.unionByName(more), "links")
+    chosen = _bounded(profile.select(F.col("doc_id").alias("__id")).distinct(), 16)
+    own = narrow.withColumn("__id", F.coalesce("doc_id", F.lit(NO_ID))).join(chosen, "__id", "left_semi").select("text")
+    texts = own.mapInArrow(_texts, "node long, text binary").join(profile.select("node"), "node", "left_semi")
+    # a node may come from several rows of one id; they are copies
+    texts = written(texts.groupBy("node").agg(F.first("text").alias("text")), "texts")
+    stars = rows.where("node <> a").select("a", F.col("node").alias("b")).distinct()
+    tested = written(near(stars), "candidates")
+    found = written(_verified(tested, texts), "links")
+    rows, label, new = rows.select("sig", "node"), connected_components(found), found
+    for turn in range(NEAREST_ROUNDS + 1):
+        every = turn == NEAREST_ROUNDS
+        if not every and turn and not new.head(1):
+            continue  # components are as they were: look at every pair
+        apart = rows.join(label, "node", "left").select("sig", "node", F.coalesce("component", "node").alias("component"))
+        mixed = apart.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("members")).where("lo <> hi")
+        mixed = mixed.select("sig", F.ceil(F.col("members") / CHUNK).cast("int").alias("chunks"))
+        apart = written(apart.join(mixed, "sig"), "apart")
+        rows = apart.select("sig", "node")
+        pairs = written(_crossed(apart, profile, not every).join(tested, ["a", "b"], "left_anti"), "candidates")
+        new = written(_verified(pairs, texts), "links")
+        tested, found = tested.unionByName(pairs), found.unionByName(new)
+        if not every and new.head(1):
+            label = connected_components(label.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(new))
+    return found
+
+
+def _crossed(apart: DataFrame, profile: DataFrame, nearest: bool) -> DataFrame:
+    """Candidate pairs (a, b) of (sig, node, component, chunks)."""
+    full = apart.join(profile.select("node", "n", F.col("h").alias("histogram")), "node")
+    full = full.withColumn("mine", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
+    full = full.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    full = full.select("sig", F.least("mine", "other").alias("lo"), F.greatest("mine", "other").alias("hi"), "node", "component", F.col("mine").alias("side"), "n", "histogram")
+    parts = int(apart.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return full.repartition(parts, "sig", "lo", "hi").sortWithinPartitions("sig", "lo", "hi").mapInArrow(partial(_cross, nearest), "a long, b long").distinct()
 
 
 def components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
