@@ -52,8 +52,10 @@ CELL_BITS, CELL_CHUNKS = 20, 16
 COMMON_TIMES, LEAST_COMMON = 8, 64
 BINS = 128
 CHUNK = 2000
+#: Pairs whose histograms are compared at once.
+PAIRS = 1 << 16
 #: Rounds that compare each component with its nearest one only, before the last.
-NEAREST_ROUNDS = 3
+NEAREST_ROUNDS = 1
 BROADCAST_BYTES = 8 << 20
 NO_ID = -(1 << 63)
 BLOCK_SIGNATURES = 1 << 21
@@ -214,93 +216,86 @@ def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield batch.select(["a", "b"]).filter(pa.array(keep))
 
 
-def _pairs_within(rows: pa.RecordBatch, nearest: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of one group of (node, component, side, n, histogram) that may be linked:
-    of different components and, where the group joins two chunks, of different sides.
-    nearest: of each component only the pair with the least distance of histograms."""
-    node, comp, side, n = (rows.column(c).to_numpy() for c in ("node", "component", "side", "n"))
-    hist = _histograms(rows.column("histogram"))
-    by = np.lexsort((node, n))
-    node, comp, side, n, hist = node[by], comp[by], side[by], n[by], hist[by].astype(np.int16)
-    two, left, right, apart = side.min() != side.max(), [], [], []
+def _near_pairs(group: np.ndarray, comp: np.ndarray, side: np.ndarray, n: np.ndarray, hist: np.ndarray, nearest: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Indexes (left, right) of the pairs in each group that may be linked: of different
+    components and, in a group of two chunks, of different sides. Rows are sorted by
+    group and n. nearest: of each component only its pair of least distance."""
+    two = np.zeros(len(group), bool)
+    starts = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
+    sizes = np.diff(np.append(starts, len(group)))
+    both = np.minimum.reduceat(side, starts) != np.maximum.reduceat(side, starts)
+    two = np.repeat(both, sizes)
     full = hist.max(1) == 255  # a full bin bounds nothing
-    tops = np.searchsorted(n, n * 100 // PERCENT, side="right")
-    for i in range(len(node) - 1):
-        j = np.arange(i + 1, tops[i])
-        j = j[(comp[j] != comp[i]) & ((side[j] != side[i]) if two else True)]
-        if len(j):
-            d = np.abs(hist[j] - hist[i]).sum(1)
-            near = (d <= (n[i] + n[j]) * (100 - PERCENT) // (100 + PERCENT)) | full[j] | full[i]
-            left.append(np.full(int(near.sum()), i))
+    left, right, apart = [], [], []
+    for step in range(1, int(sizes.max())):  # every pair of rows that are step apart
+        i = np.flatnonzero((group[step:] == group[:-step]) & (n[step:] * PERCENT <= n[:-step] * 100)) if len(group) > step else np.zeros(0, np.int64)
+        if not len(i):
+            break  # sizes ascend, so wider steps have none either
+        i = i[(comp[i] != comp[i + step]) & (~two[i] | (side[i] != side[i + step]))]
+        for part in np.array_split(i, max(1, len(i) // PAIRS)):
+            j = part + step
+            d = np.abs(hist[part].astype(np.int16) - hist[j]).sum(1)
+            near = (d <= (n[part] + n[j]) * (100 - PERCENT) // (100 + PERCENT)) | full[part] | full[j]
+            left.append(part[near])
             right.append(j[near])
             apart.append(d[near])
     if not left:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    left, right = np.concatenate(left), np.concatenate(right)
+    left, right, apart = np.concatenate(left), np.concatenate(right), np.concatenate(apart)
     if nearest and len(left):
-        ends, both = np.concatenate([comp[left], comp[right]]), np.tile(np.arange(len(left)), 2)
-        order = np.lexsort((both, np.tile(np.concatenate(apart), 2), ends))
-        first = np.append(True, ends[order][1:] != ends[order][:-1])
-        pick = np.unique(both[order[first]])
+        ends, pair = np.concatenate([comp[left], comp[right]]), np.tile(np.arange(len(left)), 2)
+        order = np.lexsort((pair, np.tile(apart, 2), ends, np.tile(group[left], 2)))
+        e, g = ends[order], np.tile(group[left], 2)[order]
+        pick = np.unique(pair[order[np.append(True, (e[1:] != e[:-1]) | (g[1:] != g[:-1]))]])
         left, right = left[pick], right[pick]
-    x, y = node[left], node[right]
-    return np.minimum(x, y), np.maximum(x, y)
+    return left, right
 
 
 def _cross(nearest: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (sig, lo, hi), all of a group in one task -> candidate pairs (a, b)."""
+    """Rows sorted by (sig, lo, hi, n), all of a group in one task -> candidates (a, b)."""
     kept: list[pa.RecordBatch] = []
 
-    def done(table: pa.Table, last: bool):
-        keys = [table.column(c).to_numpy() for c in ("sig", "lo", "hi")]
-        change = np.flatnonzero(np.any([k[1:] != k[:-1] for k in keys], axis=0)) + 1
-        cuts = [0, *change.tolist(), table.num_rows]
-        upto = len(cuts) - 1 if last else len(cuts) - 2
-        a, b = [], []
-        for i in range(upto):
-            part = table.slice(cuts[i], cuts[i + 1] - cuts[i])
-            if part.num_rows > 1:
-                x, y = _pairs_within(part, nearest)
-                a.append(x)
-                b.append(y)
-        pairs = np.unique(np.stack([np.concatenate(a), np.concatenate(b)]), axis=1) if a else np.zeros((2, 0), np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(p) for p in pairs], names=["a", "b"]), table.slice(cuts[upto]).to_batches()
+    def done(rows: pa.Table, last: bool):
+        keys = [rows.column(c).to_numpy() for c in ("sig", "lo", "hi")]
+        change = np.append(False, np.any([k[1:] != k[:-1] for k in keys], axis=0))
+        group = np.cumsum(change)
+        upto = rows.num_rows if last else int(np.searchsorted(group, group[-1]))
+        own = rows.slice(0, upto)
+        if upto:
+            node, comp, side, n = (own.column(c).to_numpy() for c in ("node", "component", "side", "n"))
+            i, j = _near_pairs(group[:upto], comp, side, n, _histograms(own.column("histogram")), nearest)
+            pairs = np.unique(np.stack([np.minimum(node[i], node[j]), np.maximum(node[i], node[j])]), axis=1)
+        else:
+            pairs = np.zeros((2, 0), np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(p) for p in pairs], names=["a", "b"]), rows.slice(upto).to_batches()
 
     for batch in batches:
-        kept.append(batch)
-        out, kept = done(pa.Table.from_batches(kept).combine_chunks(), False)
-        yield out
+        if batch.num_rows:
+            kept.append(batch)
+            out, kept = done(pa.Table.from_batches(kept).combine_chunks(), False)
+            yield out
     if kept and sum(b.num_rows for b in kept):
         yield done(pa.Table.from_batches(kept).combine_chunks(), True)[0]
 
 
-def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(text) -> (node, the text compressed), once for each node of the task."""
-    vocabulary, seen = W.Words(), set()
-    for batch in batches:
-        for _, texts in W.steps(batch, "text"):
-            h, sizes = W.shingle_sets(texts, vocabulary, SHINGLE)
-            rows = [(node_of(p), b) for p, b in zip(np.split(h, np.cumsum(sizes)[:-1]), texts)]
-            rows = [(n, np.int64(len(b)).tobytes() + pa.compress(b, codec="zstd", asbytes=True)) for n, b in rows if n not in seen]
-            seen.update(n for n, _ in rows)
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())], names=["node", "text"])
-
-
 def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(a, b, ta, tb) -> (a, b) whose texts' sets are similar enough."""
+    """(a, b, ta, tb) -> (a, b) whose texts' sets are similar enough.
+
+    Texts were found by document id; one that is not its node's is another row's.
+    """
     vocabulary = W.Words()
 
     @lru_cache(maxsize=64)
-    def shingles(cell: bytes) -> np.ndarray:
-        text = pa.decompress(cell[8:], decompressed_size=int(np.frombuffer(cell[:8], np.int64)[0]), codec="zstd", asbytes=True)
-        return W.shingle_sets([text], vocabulary, SHINGLE)[0]
+    def shingles(text: bytes) -> tuple[np.ndarray, int]:
+        h = W.shingle_sets([text], vocabulary, SHINGLE)[0]
+        return h, node_of(h)
 
     for batch in batches:
         keep = []
-        for x, y in zip(batch.column("ta"), batch.column("tb")):
-            x, y = shingles(x.as_py()), shingles(y.as_py())
+        for a, b, x, y in zip(*(batch.column(c) for c in ("a", "b", "ta", "tb"))):
+            (x, of_x), (y, of_y) = shingles(x.as_py()), shingles(y.as_py())
             both = len(x) + len(y) - len(np.union1d(x, y))
-            keep.append(100 * both >= PERCENT * (len(x) + len(y) - both))
+            keep.append(of_x == a.as_py() and of_y == b.as_py() and 100 * both >= PERCENT * (len(x) + len(y) - both))
         yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
@@ -309,12 +304,19 @@ def _bounded(df: DataFrame, row_bytes: int) -> DataFrame:
     return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df
 
 
-def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs that are linked. Each pair's two texts meet in one shuffle on the pair."""
+def _verified(pairs: DataFrame, profile: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs that are linked. profile: node, doc_id; texts: doc_id, text.
+
+    Only texts of the pairs' nodes leave their scan; each pair's two meet in one shuffle
+    on the pair.
+    """
+    ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    ids = _bounded(written(profile.select("node", "doc_id").join(ends, "node"), "ends"), 32)
+    own = texts.join(ids, "doc_id").select("node", "text")
     sent = _bounded(pairs, 32)
-    left = texts.select(F.col("node").alias("a"), F.col("text").alias("ta")).join(sent, "a")
-    right = texts.select(F.col("node").alias("b"), F.col("text").alias("tb")).join(sent, "b")
-    return left.join(right, ["a", "b"]).select("a", "b", "ta", "tb").mapInArrow(_linked, "a long, b long")
+    left = own.select(F.col("node").alias("a"), F.col("text").alias("ta")).join(sent, "a")
+    right = own.select(F.col("node").alias("b"), F.col("text").alias("tb")).join(sent, "b")
+    return left.join(right, ["a", "b"]).select("a", "b", "ta", "tb").mapInArrow(_linked, "a long, b long").distinct()
 
 
 def profiles(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, bytes]:
@@ -345,14 +347,10 @@ def links(docs: DataFrame, of: DataFrame, bits: bytes, doc_id: str = "doc_id", t
         left, right = (profile.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("h").alias(f"h{x}")) for x in "ab")
         return pairs.join(left, "a").join(right, "b").select("a", "b", "na", "nb", "ha", "hb").mapInArrow(_near, "a long, b long")
 
-    chosen = _bounded(profile.select(F.col("doc_id").alias("__id")).distinct(), 16)
-    own = narrow.withColumn("__id", F.coalesce("doc_id", F.lit(NO_ID))).join(chosen, "__id", "left_semi").select("text")
-    texts = own.mapInArrow(_texts, "node long, text binary").join(profile.select("node"), "node", "left_semi")
-    # a node may come from several rows of one id; they are copies
-    texts = written(texts.groupBy("node").agg(F.first("text").alias("text")), "texts")
+    texts = narrow.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), "text")
     stars = rows.where("node <> a").select("a", F.col("node").alias("b")).distinct()
     tested = written(near(stars), "candidates")
-    found = written(_verified(tested, texts), "links")
+    found = written(_verified(tested, profile, texts), "links")
     rows, label, new = rows.select("sig", "node"), connected_components(found), found
     for turn in range(NEAREST_ROUNDS + 1):
         every = turn == NEAREST_ROUNDS
@@ -364,7 +362,7 @@ def links(docs: DataFrame, of: DataFrame, bits: bytes, doc_id: str = "doc_id", t
         apart = written(apart.join(mixed, "sig"), "apart")
         rows = apart.select("sig", "node")
         pairs = written(_crossed(apart, profile, not every).join(tested, ["a", "b"], "left_anti"), "candidates")
-        new = written(_verified(pairs, texts), "links")
+        new = written(_verified(pairs, profile, texts), "links")
         tested, found = tested.unionByName(pairs), found.unionByName(new)
         if not every and new.head(1):
             label = connected_components(label.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(new))
@@ -378,7 +376,7 @@ def _crossed(apart: DataFrame, profile: DataFrame, nearest: bool) -> DataFrame:
     full = full.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     full = full.select("sig", F.least("mine", "other").alias("lo"), F.greatest("mine", "other").alias("hi"), "node", "component", F.col("mine").alias("side"), "n", "histogram")
     parts = int(apart.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return full.repartition(parts, "sig", "lo", "hi").sortWithinPartitions("sig", "lo", "hi").mapInArrow(partial(_cross, nearest), "a long, b long").distinct()
+    return full.repartition(parts, "sig", "lo", "hi").sortWithinPartitions("sig", "lo", "hi", "n").mapInArrow(partial(_cross, nearest), "a long, b long").distinct()
 
 
 def components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
