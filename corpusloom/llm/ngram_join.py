@@ -338,8 +338,12 @@ def links(docs: DataFrame, of: DataFrame, bits: bytes, doc_id: str = "doc_id", t
     shared = narrow.mapInArrow(_signed(bits, n_buckets), "bucket int, signatures binary, ids binary").groupBy("bucket").applyInArrow(_shared, "sig long, doc_id long")
     nodes = of.where("n > 0").select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), "node")
     members = written(shared.join(nodes, "doc_id").select("sig", "node").distinct(), "members")
-    least = members.groupBy("sig").agg(F.min("node").alias("a"), F.count(F.lit(1)).alias("members")).where("members > 1").select("sig", "a")
-    rows = written(members.join(least, "sig"), "shared")
+    # copies of a text share most of their signatures: one of those with the same members
+    # (told by 128 bits of their hashes) stands for all
+    prints = [F.bit_xor(F.xxhash64("node", F.lit(i))).alias(f"print{i}") for i in range(2)]
+    groups = members.groupBy("sig").agg(F.min("node").alias("a"), F.count(F.lit(1)).alias("members"), *prints).where("members > 1")
+    groups = groups.groupBy("a", "members", "print0", "print1").agg(F.min("sig").alias("sig")).select("sig", "a")
+    rows = written(members.join(groups, "sig"), "shared")
     of_node = of.where("n > 0").groupBy("node").agg(F.min(F.coalesce("doc_id", F.lit(NO_ID))).alias("doc_id"), F.first("n").alias("n"), F.first("histogram").alias("h"))
     profile = written(of_node.join(rows.select("node").distinct(), "node", "left_semi"), "profile")
 

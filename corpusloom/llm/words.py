@@ -16,7 +16,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: Bytes of text that one vectorised step takes; longer texts go alone.
-STEP = 8 << 20
+STEP = 4 << 20
 #: Distinct words a task keeps hashed; then the table starts anew.
 VOCABULARY = 1 << 20
 MIX1, MIX2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
