@@ -14,8 +14,8 @@ that is itself common) send all their parts. Either way no link can be missed: e
 parts are equally weak. Which shingles count as common is read from a table of
 2**CELL_BITS counters, the same for all tasks; it may err without harm.
 
-Sets that share a signature are candidates. Round one compares each with the least set
-of its signature only, and verified links make components. The next rounds compare,
+Sets that share a signature are candidates. Round one compares each with the three least
+sets of its signature only, and verified links make components. The next rounds compare,
 inside a signature, sets that are still in different components, by size and by a
 histogram whose distance bounds the sets' difference from below: first each component
 and its nearest one, then all that are left. Members of one component need no further
@@ -31,7 +31,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import lru_cache, partial
+from functools import lru_cache, partial, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -52,6 +52,8 @@ CELL_BITS, CELL_CHUNKS = 20, 16
 COMMON_TIMES, LEAST_COMMON = 8, 64
 BINS = 128
 CHUNK = 2000
+#: How many least members of a signature are compared with all its other ones.
+STARS = 3
 #: Pairs whose histograms are compared at once.
 PAIRS = 1 << 16
 #: Rounds that compare each component with its nearest one only, before the last.
@@ -338,12 +340,12 @@ def links(docs: DataFrame, of: DataFrame, bits: bytes, doc_id: str = "doc_id", t
     shared = narrow.mapInArrow(_signed(bits, n_buckets), "bucket int, signatures binary, ids binary").groupBy("bucket").applyInArrow(_shared, "sig long, doc_id long")
     nodes = of.where("n > 0").select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), "node")
     members = written(shared.join(nodes, "doc_id").select("sig", "node").distinct(), "members")
-    # copies of a text share most of their signatures: one of those with the same members
-    # (told by 128 bits of their hashes) stands for all
-    prints = [F.bit_xor(F.xxhash64("node", F.lit(i))).alias(f"print{i}") for i in range(2)]
-    groups = members.groupBy("sig").agg(F.min("node").alias("a"), F.count(F.lit(1)).alias("members"), *prints).where("members > 1")
-    groups = groups.groupBy("a", "members", "print0", "print1").agg(F.min("sig").alias("sig")).select("sig", "a")
-    rows = written(members.join(groups, "sig"), "shared")
+    levels, rest = [], members
+    for _ in range(STARS):  # the least member's pairs are compared; without it, again
+        rows = written(_grouped(rest), "shared")
+        levels.append(rows)
+        rest = rows.where("node <> a").select("sig", "node")
+    rows = levels[0]
     of_node = of.where("n > 0").groupBy("node").agg(F.min(F.coalesce("doc_id", F.lit(NO_ID))).alias("doc_id"), F.first("n").alias("n"), F.first("histogram").alias("h"))
     profile = written(of_node.join(rows.select("node").distinct(), "node", "left_semi"), "profile")
 
@@ -352,10 +354,10 @@ def links(docs: DataFrame, of: DataFrame, bits: bytes, doc_id: str = "doc_id", t
         return pairs.join(left, "a").join(right, "b").select("a", "b", "na", "nb", "ha", "hb").mapInArrow(_near, "a long, b long")
 
     texts = narrow.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), "text")
-    stars = rows.where("node <> a").select("a", F.col("node").alias("b")).distinct()
+    stars = reduce(DataFrame.unionByName, (x.where("node <> a").select("a", F.col("node").alias("b")) for x in levels)).distinct()
     tested = written(near(stars), "candidates")
     found = written(_verified(tested, profile, texts), "links")
-    rows, label, new = rows.select("sig", "node"), connected_components(found), found
+    rows, label, new = written(_grouped(rest), "shared").select("sig", "node"), connected_components(found), found
     for turn in range(NEAREST_ROUNDS + 1):
         every = turn == NEAREST_ROUNDS
         if not every and turn and not new.head(1):
@@ -373,6 +375,16 @@ def links(docs: DataFrame, of: DataFrame, bits: bytes, doc_id: str = "doc_id", t
     return found
 
 
+def _grouped(members: DataFrame) -> DataFrame:
+    """(sig, node, a): members of the signatures that two sets or more share, and the
+    least of each. Copies of a text share most of their signatures: one of those with the
+    same members (told by 128 bits of their hashes) stands for all."""
+    prints = [F.bit_xor(F.xxhash64("node", F.lit(i))).alias(f"print{i}") for i in range(2)]
+    groups = members.groupBy("sig").agg(F.min("node").alias("a"), F.count(F.lit(1)).alias("members"), *prints).where("members > 1")
+    groups = groups.groupBy("a", "members", "print0", "print1").agg(F.min("sig").alias("sig")).select("sig", "a")
+    return members.join(groups, "sig")
+
+
 def _crossed(apart: DataFrame, profile: DataFrame, nearest: bool) -> DataFrame:
     """Candidate pairs (a, b) of (sig, node, component, chunks)."""
     full = apart.join(profile.select("node", "n", F.col("h").alias("histogram")), "node")
