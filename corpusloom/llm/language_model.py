@@ -55,6 +55,7 @@ class _Local(dict):
         return i
 
 
+@W.trimming
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(doc_id, fold, text) -> BLOCKS. Local id 0 is the end token, 1.. are words."""
     from pyspark import TaskContext
@@ -133,6 +134,7 @@ def _pair_hashes(keys: np.ndarray, width: int, hashes: np.ndarray) -> np.ndarray
 def _entries(n_buckets: int):
     """Blocks -> rows (order, bucket, block, hashes, train, deleted)."""
 
+    @W.trimming
     def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
@@ -236,6 +238,7 @@ def _bin(p: np.ndarray, p0: float) -> np.ndarray:
 
 
 def _histogram(totals: dict):
+    @W.trimming
     def histogram(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
@@ -281,6 +284,7 @@ def learn(cells: np.ndarray, n: np.ndarray, rounds: int = 200) -> np.ndarray:
 def _scores(totals: dict, weights: list[list[float]]):
     w = np.array(weights)
 
+    @W.trimming
     def scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():

@@ -80,6 +80,7 @@ def parameters(band: int) -> tuple[int, int]:
     return k, k + 4 + k // 8
 
 
+@W.trimming
 def _profiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(doc_id, text) -> a row for each document, and the task's counters."""
     vocabulary, cells = W.Words(), np.zeros(1 << CELL_BITS, np.int64)
@@ -145,6 +146,7 @@ def signatures(h: np.ndarray, sizes: np.ndarray, common: np.ndarray) -> tuple[np
 def _signed(bits: bytes, n_buckets: int):
     """(doc_id, text) -> (bucket, signatures, doc_ids), a row for each block and bucket."""
 
+    @W.trimming
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common = np.unpackbits(np.frombuffer(bits, np.uint8)).astype(bool) if bits else np.zeros(1 << CELL_BITS, bool)
         vocabulary, seen = W.Words(), set()
@@ -253,6 +255,7 @@ def _near_pairs(group: np.ndarray, comp: np.ndarray, side: np.ndarray, n: np.nda
     return left, right
 
 
+@W.trimming
 def _cross(nearest: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by (sig, lo, hi, n), all of a group in one task -> candidates (a, b)."""
     kept: list[pa.RecordBatch] = []
@@ -280,6 +283,7 @@ def _cross(nearest: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Reco
         yield done(pa.Table.from_batches(kept).combine_chunks(), True)[0]
 
 
+@W.trimming
 def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(a, b, ta, tb) -> (a, b) whose texts' sets are similar enough.
 

@@ -39,7 +39,7 @@ from corpusloom.session import table
 RATE, SEED, VARIANTS = 0.1, 20240229, 4
 MARK = "▁"
 NEVER = np.int32(2**31 - 1)
-WORDS = 1 << 19
+WORDS = 1 << 18
 _WORD = re.compile(r"\n| *[^ \n]+| +")
 
 
@@ -232,6 +232,7 @@ def decode(m: Model, ids: np.ndarray) -> bytes:
 
 
 def _encoded(path: str, text: str, rate: float, seed: int):
+    @W.trimming
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m, encoder = model(path), None
         for batch in batches:

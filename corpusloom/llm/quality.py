@@ -60,6 +60,7 @@ def _repeated_words(words: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return covered[starts[1:]] - covered[starts[:-1]]
 
 
+@W.trimming
 def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Adds MEASURES to batches of (doc_id, host, text as binary); the text goes."""
     vocabulary = W.Words()

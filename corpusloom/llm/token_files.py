@@ -190,6 +190,7 @@ def word_ids(path: str) -> WordIds:
 
 
 def _write(folder: str, tokenizer: str):
+    @W.trimming
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 

@@ -7,7 +7,11 @@ Texts come from Spark as binary, so nothing is decoded.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterator
+from contextlib import suppress
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -18,10 +22,24 @@ from pyspark.sql import functions as F
 #: Bytes of text that one vectorised step takes; longer texts go alone.
 STEP = 4 << 20
 #: Distinct words a task keeps hashed; then the table starts anew.
-VOCABULARY = 1 << 20
+VOCABULARY = 1 << 18
 MIX1, MIX2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
+def trimming(step):
+    """step, giving the memory that it frees back when its task ends: worker processes
+    live on, and the C library keeps what is freed."""
+
+    @wraps(step)
+    def run(*args):
+        yield from step(*args)
+        gc.collect()
+        with suppress(OSError, AttributeError):  # another C library has no such call
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+    return run
+
+
 def as_bytes(text: str | Column) -> Column:
     """The UTF-8 of a text column; null is empty."""
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit("")).cast("binary")
