@@ -48,8 +48,9 @@ SHINGLE = 5
 #: Linked when 100 * intersection >= PERCENT * union; the bands and k follow from it.
 PERCENT = 80
 CELL_BITS, CELL_CHUNKS = 20, 16
-#: A counter is common when it is above the mean this many times, and LEAST_COMMON.
-COMMON_TIMES, LEAST_COMMON = 8, 64
+#: A counter is common when it is above its chunk's median by this many times the median
+#: deviation, and by LEAST_COMMON: a bound that grows as the root of the input, not as it.
+DEVIATIONS, LEAST_COMMON = 8, 64
 BINS = 128
 CHUNK = 2000
 #: How many least members of a signature are compared with all its other ones.
@@ -111,7 +112,8 @@ def node_of(shingles: np.ndarray) -> int:
 def _common(rows: pa.Table) -> pa.Table:
     """One chunk's counters of all tasks -> which are common, as bits."""
     total = sum(unpack(c.as_py(), np.uint32).astype(np.int64) for c in rows["cells"])
-    bits = np.packbits(total > max(LEAST_COMMON, COMMON_TIMES * rows["mean"][0].as_py()))
+    middle = np.median(total)
+    bits = np.packbits(total > middle + max(LEAST_COMMON, DEVIATIONS * np.median(np.abs(total - middle))))
     return pa.table({"chunk": pa.array([rows["chunk"][0].as_py()], pa.int32()), "bits": pa.array([bits.tobytes()], pa.binary())})
 
 
@@ -330,8 +332,7 @@ def profiles(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tup
     narrow = docs.select(F.col(doc_id).cast("long").alias("doc_id"), W.as_bytes(text).alias("text"))
     rows = written(narrow.mapInArrow(_profiles, "kind int, doc_id long, n long, node long, histogram binary, chunk int, cells binary"), "profiles")
     of = rows.where("kind = 0").select("doc_id", "n", "node", "histogram")
-    mean = (of.agg(F.sum("n")).first()[0] or 0) / (1 << CELL_BITS)
-    bits = rows.where("kind = 1").select("chunk", "cells").withColumn("mean", F.lit(mean)).groupBy("chunk").applyInArrow(_common, "chunk int, bits binary")
+    bits = rows.where("kind = 1").select("chunk", "cells").groupBy("chunk").applyInArrow(_common, "chunk int, bits binary")
     return of, b"".join(r["bits"] for r in bits.orderBy("chunk").collect())  # 2**CELL_BITS bits
 
 
