@@ -259,7 +259,7 @@ def _near_pairs(group: np.ndarray, comp: np.ndarray, side: np.ndarray, n: np.nda
 
 @W.trimming
 def _cross(nearest: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (sig, lo, hi, n), all of a group in one task -> candidates (a, b)."""
+    """Rows sorted by (lo, hi, sig, n), all of a group in one task -> candidates (a, b)."""
     kept: list[pa.RecordBatch] = []
 
     def done(rows: pa.Table, last: bool):
@@ -368,8 +368,8 @@ def links(docs: DataFrame, of: DataFrame, bits: bytes, doc_id: str = "doc_id", t
         if not every and turn and not new.head(1):
             continue  # components are as they were: look at every pair
         apart = rows.join(label, "node", "left").select("sig", "node", F.coalesce("component", "node").alias("component"))
-        mixed = apart.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("members")).where("lo <> hi")
-        mixed = mixed.select("sig", F.ceil(F.col("members") / CHUNK).cast("int").alias("chunks"))
+        mixed = apart.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.min("node").alias("least"), F.count(F.lit(1)).alias("members")).where("lo <> hi")
+        mixed = mixed.select("sig", "least", F.ceil(F.col("members") / CHUNK).cast("int").alias("chunks"))
         apart = written(apart.join(mixed, "sig"), "apart")
         rows = apart.select("sig", "node")
         pairs = written(_crossed(apart, profile, not every).join(tested, ["a", "b"], "left_anti"), "candidates")
@@ -391,13 +391,18 @@ def _grouped(members: DataFrame) -> DataFrame:
 
 
 def _crossed(apart: DataFrame, profile: DataFrame, nearest: bool) -> DataFrame:
-    """Candidate pairs (a, b) of (sig, node, component, chunks)."""
+    """Candidate pairs (a, b) of (sig, node, component, least, chunks).
+
+    Long texts that are nearly linked share a hundred signatures and more; signatures of
+    one least member go to one task, so that a pair is told once there and not by each.
+    A set has a bounded number of signatures, and chunks bound the members of each."""
     full = apart.join(profile.select("node", "n", F.col("h").alias("histogram")), "node")
     full = full.withColumn("mine", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
     full = full.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    full = full.select("sig", F.least("mine", "other").alias("lo"), F.greatest("mine", "other").alias("hi"), "node", "component", F.col("mine").alias("side"), "n", "histogram")
+    full = full.select("sig", F.least("mine", "other").alias("lo"), F.greatest("mine", "other").alias("hi"), "least", "node", "component", F.col("mine").alias("side"), "n", "histogram")
     parts = int(apart.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return full.repartition(parts, "sig", "lo", "hi").sortWithinPartitions("sig", "lo", "hi", "n").mapInArrow(partial(_cross, nearest), "a long, b long").distinct()
+    dealt_out = full.repartition(parts, "least", "lo", "hi").sortWithinPartitions("least", "lo", "hi", "sig", "n").drop("least")
+    return dealt_out.mapInArrow(partial(_cross, nearest), "a long, b long").distinct()
 
 
 def components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
