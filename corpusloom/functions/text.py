@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import re
 import unicodedata
 
 import pandas as pd
@@ -70,3 +72,41 @@ def has_anchors(c: Column, groups: list[list[str]]) -> Column:
             any_ = any_ | low.contains(term)
         out = out & any_
     return out
+
+
+def thousands(c: Column, mark: str = ".") -> Column:
+    """A whole number with a mark between thousands."""
+    return F.translate(F.format_number(c, 0), ",", mark)
+
+
+def choices(options: Column, inline: bool = False) -> Column:
+    """Options by key: one on each line, or in brackets on one."""
+    entries = F.array_sort(F.map_entries(options))
+    lines = F.transform(entries, lambda e: F.concat(e["key"], F.lit(": " if inline else ". "), e["value"]))
+    return F.concat(F.lit(" <choices>: ["), F.array_join(lines, ", "), F.lit("]")) if inline else F.array_join(lines, "\n")
+
+
+def count_marked(c: Column, letters: str) -> Column:
+    """How many characters are among the given letters, in either case."""
+    return F.regexp_count(F.lower(c), F.lit(f"[{letters}]"))
+
+
+@F.pandas_udf(T.StringType())
+def json_object(s: pd.Series) -> pd.Series:
+    """The first JSON object in a text, as compact JSON with sorted keys: a fenced block
+    that is one, else what starts at the first brace from which one can be read; null
+    without any."""
+    decoder = json.JSONDecoder()
+
+    def first(text: str | None) -> str | None:
+        if text is None:
+            return None
+        fenced = [m.start(1) for m in re.finditer(r"```(?:json)?\s*(\{)", text)]
+        for at in [*fenced, *(m.start() for m in re.finditer(r"\{", text))]:
+            try:
+                return json.dumps(decoder.raw_decode(text, at)[0], sort_keys=True, ensure_ascii=False, separators=(",", ":"))
+            except (ValueError, RecursionError):
+                continue
+        return None
+
+    return s.map(first)

@@ -51,3 +51,14 @@ def majority(train: DataFrame, key: str, label: str) -> DataFrame:
     """The most frequent label of each key; ties go to the least label."""
     counts = train.groupBy(key, label).agg(F.count(F.lit(1)).alias("n"))
     return counts.groupBy(key).agg(F.min(F.struct(-F.col("n"), F.col(label))).alias("m")).select(key, F.col(f"m.{label}").alias("predicted"))
+
+
+def representative(df: DataFrame, key: list[str], by: list[str], columns: list[str]) -> DataFrame:
+    """Of each key the row that is greatest by the given columns, in their order."""
+    return df.groupBy(*key).agg(F.max_by(F.struct(*columns), F.struct(*by)).alias("__row")).select(*key, "__row.*")
+
+
+def last_rows(df: DataFrame, key: list[str], order: list[str], n: int) -> DataFrame:
+    """Of each key its last n rows by the order."""
+    w = Window.partitionBy(*key).orderBy(*(F.desc(c) for c in order))
+    return df.withColumn("__rank", F.row_number().over(w)).where(F.col("__rank") <= n).drop("__rank")

@@ -59,3 +59,31 @@ def overlaps(df: DataFrame, entity: str, split: str) -> DataFrame:
 def failures(rules: dict[str, Column]) -> Column:
     """Codes of the rules that fail, in order; a rule that is null fails."""
     return F.array_compact(F.array(*(F.when(~F.coalesce(c, F.lit(False)), F.lit(n)) for n, c in rules.items())))
+
+
+def opposites(df: DataFrame, key: list[str], value: str, one: str, other: str) -> DataFrame:
+    """Keys that have both values."""
+    both = df.groupBy(*key).agg(F.count_if(F.col(value) == one).alias("n_one"), F.count_if(F.col(value) == other).alias("n_other"))
+    return both.where("n_one > 0 and n_other > 0")
+
+
+def same_order(left: DataFrame, right: DataFrame, position: str, key: str) -> DataFrame:
+    """Positions at which two tables do not have the same key, or one has no row."""
+    a, b = left.select(position, F.col(key).alias("left")), right.select(position, F.col(key).alias("right"))
+    return a.join(b, position, "full").where(~F.col("left").eqNullSafe(F.col("right")))
+
+
+def conserved(whole: DataFrame, parts: dict[str, DataFrame], key: str) -> DataFrame:
+    """Keys that are not in the parts as often as in the whole: lost, added or in two."""
+    of = lambda df, n: df.select(key, F.lit(n).alias("n"))
+    signed = of(whole, 1)
+    for part in parts.values():
+        signed = signed.unionByName(of(part, -1))
+    return signed.groupBy(key).agg(F.sum("n").alias("missing")).where("missing <> 0")
+
+
+def mentions(text: str, terms: list[str]) -> Column:
+    """The terms that occur in the text as whole words, in the order given; they are
+    constants of the plan, so no join is needed."""
+    whole = lambda t: F.lower(text).rlike(rf"(?<![\p{{L}}\p{{N}}_])\Q{t.lower()}\E(?![\p{{L}}\p{{N}}_])")
+    return F.array_compact(F.array(*(F.when(whole(t), F.lit(t)) for t in terms)))

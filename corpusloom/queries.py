@@ -320,3 +320,114 @@ def incremental_resume(spark, d):
     source = scratch(spark, "arrivals")
     e.repartition(4).write.parquet(source)
     return resumed(spark, source, e.schema, realise)
+
+
+@query("SELECT user_id, count(*) AS n FROM events GROUP BY 1 HAVING count(*) < 65")
+def rare_values(spark, d):
+    return stats.rare(table(spark, d, "events"), "user_id", 65)
+
+
+@query("""SELECT CAST(sum(u) AS BIGINT) AS user_id, CAST(sum(p) AS BIGINT) AS props FROM (SELECT event_type, count(DISTINCT user_id) AS u, count(DISTINCT props) AS p FROM events GROUP BY 1)""")
+def summed_distinct(spark, d):
+    return stats.summed_distinct(table(spark, d, "events"), "event_type", ["user_id", "props"])
+
+
+@query("""SELECT p_type, n, first, row_number() OVER (ORDER BY n DESC, first, p_type) AS rank FROM (SELECT p_type, count(*) AS n, min(p_partkey) AS first FROM part GROUP BY 1) ORDER BY n DESC, first, p_type LIMIT 20""")
+def frequency_ranks(spark, d):
+    return stats.first_seen_order(table(spark, d, "part"), "p_type", "p_partkey", 20)
+
+
+@query("""SELECT key, CAST(sum(value) AS BIGINT) AS total FROM (SELECT 'chars' AS key, length(text) AS value FROM conversations UNION ALL SELECT role, 1 FROM conversations) GROUP BY 1""")
+def counter_sums(spark, d):
+    counters = F.create_map(F.lit("chars"), F.length("text"), F.col("role"), F.lit(1))
+    return stats.map_sums(table(spark, d, "conversations").select(counters.alias("usage")), "usage")
+
+
+@query("""WITH r AS (SELECT l_returnflag || l_linestatus AS code, l_orderkey, row_number() OVER (PARTITION BY l_returnflag || l_linestatus ORDER BY l_orderkey) AS r FROM lineitem)
+    SELECT code, count(*) AS n, list(l_orderkey ORDER BY l_orderkey) FILTER (WHERE r <= 10) AS examples FROM r GROUP BY 1""")
+def failure_examples(spark, d):
+    li = table(spark, d, "lineitem").select(F.concat("l_returnflag", "l_linestatus").alias("code"), "l_orderkey")
+    return stats.counted_examples(li, "code", "l_orderkey")
+
+
+@query("""WITH b AS (SELECT label, CASE WHEN vec_id % 3 > 0 THEN 1 ELSE 0 END AS boxes, CASE WHEN vec_id % 3 > 0 AND NOT (embedding[3] > embedding[1] AND embedding[4] > embedding[2]) THEN 1 ELSE 0 END AS bad FROM embeddings)
+    SELECT label, count(*) AS n, CAST(sum(boxes) AS BIGINT) AS boxes, CAST(sum(boxes) AS BIGINT) AS with_box, CAST(sum(bad) AS BIGINT) AS invalid FROM b GROUP BY 1""")
+def box_statistics(spark, d):
+    boxes = F.when(F.col("vec_id") % 3 > 0, F.array(F.slice("embedding", 1, 4)))
+    return stats.box_counts(table(spark, d, "embeddings").select("label", boxes.alias("boxes")), "label", F.col("boxes"))
+
+
+@query("""SELECT l_orderkey, l_returnflag, count(*) FILTER (WHERE l_linestatus = 'O') AS n_one, count(*) FILTER (WHERE l_linestatus = 'F') AS n_other FROM lineitem GROUP BY 1, 2
+    HAVING count(*) FILTER (WHERE l_linestatus = 'O') > 0 AND count(*) FILTER (WHERE l_linestatus = 'F') > 0""")
+def polarity_contradictions(spark, d):
+    return relate.opposites(table(spark, d, "lineitem"), ["l_orderkey", "l_returnflag"], "l_linestatus", "O", "F")
+
+
+@query("""SELECT o_orderkey, o_custkey AS "left", CASE WHEN o_orderkey % 50 > 0 THEN o_custkey + CASE WHEN o_orderkey % 70 = 0 THEN 1 ELSE 0 END END AS "right" FROM orders WHERE o_orderkey % 50 = 0 OR o_orderkey % 70 = 0""")
+def positional_mismatch(spark, d):
+    o = table(spark, d, "orders").select("o_orderkey", "o_custkey")
+    moved = o.where("o_orderkey % 50 > 0").withColumn("o_custkey", F.col("o_custkey") + F.when(F.col("o_orderkey") % 70 == 0, 1).otherwise(0))
+    return relate.same_order(o, moved, "o_orderkey", "o_custkey")
+
+
+@query("""SELECT event_id, CAST(CASE WHEN value IS NULL THEN 1 ELSE -1 END AS BIGINT) AS missing FROM events WHERE value IS NULL OR (value > 0 AND event_type = 'click' AND user_id % 10 = 0)""")
+def row_conservation(spark, d):
+    e = table(spark, d, "events")
+    parts = {"accepted": e.where("value > 0"), "rejected": e.where("value <= 0"), "review": e.where("value > 0 and event_type = 'click' and user_id % 10 = 0")}
+    return relate.conserved(e, parts, "event_id")
+
+
+@query(r"""SELECT doc_id, list_filter(['the', 'license', 'token', 'la'], lambda t: regexp_matches(lower(text), '(?:^|[^\p{L}\p{N}_])' || t || '(?:$|[^\p{L}\p{N}_])')) AS terms FROM documents""")
+def mentioned_terms(spark, d):
+    return table(spark, d, "documents").select("doc_id", relate.mentions(F.col("text"), ["the", "license", "token", "la"]).alias("terms"))
+
+
+@query("""SELECT o_custkey, o_orderkey, o_totalprice FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey DESC) AS r FROM orders) WHERE r = 1""")
+def group_representative(spark, d):
+    return dedup.representative(table(spark, d, "orders"), ["o_custkey"], ["o_totalprice", "o_orderkey"], ["o_orderkey", "o_totalprice"])
+
+
+@query("""SELECT user_id, count(*) AS n, bool_and(event_type = 'view') AS all_views FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS r FROM events) WHERE r <= 9 GROUP BY 1""")
+def last_nine(spark, d):
+    last = dedup.last_rows(table(spark, d, "events"), ["user_id"], ["ts", "event_id"], 9)
+    return last.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"), F.bool_and(F.col("event_type") == "view").alias("all_views"))
+
+
+@query("""SELECT p_partkey, replace(format('{:,}', p_partkey * 1234), ',', '.') AS marked FROM part""")
+def thousands_marks(spark, d):
+    return table(spark, d, "part").select("p_partkey", text.thousands(F.col("p_partkey") * 1234).alias("marked"))
+
+
+@query(r"""SELECT p_partkey, 'A. ' || p_brand || chr(10) || 'B. ' || p_type AS lines, ' <choices>: [A: ' || p_brand || ', B: ' || p_type || ']' AS inline FROM part""")
+def choice_rendering(spark, d):
+    options = F.create_map(F.lit("B"), F.col("p_type"), F.lit("A"), F.col("p_brand"))
+    return table(spark, d, "part").select("p_partkey", text.choices(options).alias("lines"), text.choices(options, True).alias("inline"))
+
+
+@query("""SELECT doc_id, CAST(len(regexp_extract_all(lower(text), '[éèñüß]')) AS INT) AS marked FROM documents""")
+def marked_letters(spark, d):
+    return table(spark, d, "documents").select("doc_id", text.count_marked(F.col("text"), "éèñüß").alias("marked"))
+
+
+@query("""SELECT event_id, replace(props, ' ', '') AS object FROM events""")
+def json_from_text(spark, d):
+    said = F.concat(F.lit("Answer {so}:\n```json\n"), F.col("props"), F.lit("\n```\nand {} more"))
+    return table(spark, d, "events").select("event_id", text.json_object(said).alias("object"))
+
+
+@query("""SELECT p_partkey, CASE WHEN p_size / 1e3 < 0.01 THEN 'small' WHEN p_size / 1e3 < 0.1 THEN 'medium' ELSE 'large' END AS bin,
+    [CAST(round_even(1000.0 * p_size / 640, 0) AS INT), CAST(round_even(1000.0 * p_size / 480, 0) AS INT), CAST(round_even(1000.0 * (p_size + 7) / 640, 0) AS INT), CAST(round_even(1000.0 * (p_size + 7) / 480, 0) AS INT)] AS box FROM part""")
+def scaled_boxes(spark, d):
+    box = F.array("p_size", "p_size", F.col("p_size") + 7, F.col("p_size") + 7)
+    return table(spark, d, "part").select("p_partkey", G.size_bin(F.col("p_size") / 1e3).alias("bin"), G.scaled_box(box, F.lit(640), F.lit(480)).alias("box"))
+
+
+@query("""SELECT conv_id, CASE WHEN len(l) < 2 THEN l[1] ELSE array_to_string(l[1:len(l) - 1], ', ') || ' and ' || l[len(l)] END AS roles FROM (SELECT conv_id, list_sort(list(DISTINCT role)) AS l FROM conversations GROUP BY 1)""")
+def joined_items(spark, d):
+    c = table(spark, d, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_set("role")).alias("r"))
+    return c.select("conv_id", text.joined(F.col("r")).alias("roles"))
+
+
+@query(r"""SELECT item_id, upper(substr(b, 1, 1)) || substr(b, 2) || '.' AS sentence FROM (SELECT item_id, rtrim(regexp_replace(trim(text), '\.+$', '')) AS b FROM benchmark)""")
+def sentences(spark, d):
+    return table(spark, d, "benchmark").select("item_id", text.sentence(F.col("text")).alias("sentence"))

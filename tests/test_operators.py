@@ -2,7 +2,7 @@
 from pyspark.sql import functions as F
 
 from corpusloom.functions import geometry, text
-from corpusloom.operators import dedup, sampling, similar
+from corpusloom.operators import dedup, relate, sampling, similar, stats
 from corpusloom.operators.graph import connected_components
 from corpusloom.plans import facts
 
@@ -72,3 +72,37 @@ def test_text(spark):
 def test_group_assignment():
     out = sampling.assign_groups({"a": 70, "b": 15, "c": 15}, {"train": 0.7, "val": 0.15, "test": 0.15})
     assert out["a"] == "train" and {out["b"], out["c"]} == {"val", "test"}
+
+
+def test_json_object(spark):
+    said = ['so {x} {"b": 1, "a": [2]} then', 'first {"n": 0}\n```json\n{"n": 1}\n```', "none {", "", None]
+    df = spark.createDataFrame([(i, s) for i, s in enumerate(said)], "i int, s string")
+    out = {r.i: r.o for r in df.select("i", text.json_object("s").alias("o")).collect()}
+    assert out == {0: '{"a":[2],"b":1}', 1: '{"n":1}', 2: None, 3: None, 4: None}
+
+
+def test_mentions_are_whole_words(spark):
+    df = spark.createDataFrame([("Lao la, élan",), ("élla",), (None,)], "t string")
+    assert [r.m for r in df.select(relate.mentions(F.col("t"), ["la", "lan"]).alias("m")).collect()] == [["la"], [], []]
+
+
+def test_conserved(spark):
+    ids = lambda *xs: spark.createDataFrame([(x,) for x in xs], "k int")
+    out = relate.conserved(ids(1, 2, 3, None), {"a": ids(1, 2), "b": ids(2, 4)}, "k")
+    assert {r.k: r.missing for r in out.collect()} == {2: -1, 3: 1, 4: -1, None: 1}
+
+
+def test_counted_examples(spark):
+    df = spark.range(500).select(F.lit("x").alias("code"), "id").unionByName(spark.range(1).select(F.lit("y").alias("code"), "id"))
+    out = {r.code: (r.n, r.examples) for r in stats.counted_examples(df, "code", "id", 3).collect()}
+    assert out == {"x": (500, [0, 1, 2]), "y": (1, [0])}
+
+
+def test_ranks_tie_by_first_position(spark):
+    df = spark.createDataFrame([("b", 0), ("a", 1), ("a", 2), ("b", 3), ("c", 4)], "v string, p int")
+    assert [r.v for r in stats.first_seen_order(df, "v", "p", 2).orderBy("rank").collect()] == ["b", "a"]
+
+
+def test_size_bin(spark):
+    df = spark.createDataFrame([(0.0099,), (0.01,), (0.1,), (None,)], "f double")
+    assert [r.b for r in df.select(geometry.size_bin(F.col("f")).alias("b")).collect()] == ["small", "medium", "large", None]
