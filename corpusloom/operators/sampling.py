@@ -27,16 +27,18 @@ def quotas(counts: DataFrame, group: str, n: str, total: int) -> DataFrame:
     return parts.select(group, (F.col("base") + F.when(rank <= left, 1).otherwise(0)).cast("long").alias("quota"))
 
 
-def diverse(profiles: list[tuple[str, set[str]]], n: int) -> list[str]:
+def diverse(profiles: list[tuple[str, set[str]]], n: int, freq: dict[str, int] | None = None) -> list[str]:
     """n keys, each time the one with the rarest and least chosen features; ties by key.
-    For a table of profiles that a caller has bounded."""
-    freq: dict[str, int] = {}
-    for _, features in profiles:
-        for f in features:
-            freq[f] = freq.get(f, 0) + 1
+    For a table of profiles that a caller has bounded; freq: the features' counts, if
+    they are of more profiles than these."""
+    if freq is None:
+        freq = {}
+        for _, features in profiles:
+            for f in features:
+                freq[f] = freq.get(f, 0) + 1
     chosen: list[str] = []
     taken: dict[str, int] = {}
-    left = dict(profiles)
+    left = {k: sorted(features) for k, features in profiles}
     while left and len(chosen) < n:
         key = min(left, key=lambda k: (-sum(1 / (freq[f] ** 0.5 * (1 + taken.get(f, 0))) for f in left[k]), k))
         for f in left.pop(key):
@@ -45,6 +47,21 @@ def diverse(profiles: list[tuple[str, set[str]]], n: int) -> list[str]:
     return chosen
 
 
+def diverse_keys(profiles: DataFrame, key: str, features: str, n: int) -> list:
+    """diverse() over all rows of profiles, one a key with its array of distinct features.
+
+    Keys of one feature set score alike and go by key, so that n keys of each set are all
+    that can be chosen; the driver gets those and the number of keys of each set."""
+    sets = profiles.where(F.col(key).isNotNull()).select(key, F.array_sort(features).alias("__set"))
+    rank = F.row_number().over(Window.partitionBy("__set").orderBy(key))
+    first = sets.withColumn("__r", rank).where(F.col("__r") <= n).select(key, "__set").collect()
+    freq: dict[str, int] = {}
+    for r in sets.groupBy("__set").agg(F.count(F.lit(1)).alias("n")).collect():
+        for f in r["__set"]:
+            freq[f] = freq.get(f, 0) + r["n"]
+    return diverse([(r[key], set(r["__set"])) for r in first], n, freq)
+
+
 def assign_groups(sizes: dict[str, int], shares: dict[str, float], steps: int = 2000, seed: int = 42) -> dict[str, str]:
     """Whole groups to splits: largest first to the split with most room, then moves
     that lessen the squared distance from the shares."""

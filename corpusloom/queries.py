@@ -285,8 +285,8 @@ def group_stratified_split(spark, d):
 
 @query()
 def diverse_selection(spark, d):
-    rows = table(spark, d, "events").groupBy("user_id").agg(F.collect_set("event_type").alias("f")).orderBy("user_id").limit(1000).collect()
-    chosen = sampling.diverse([(r["user_id"], set(r["f"])) for r in rows], 20)
+    users = table(spark, d, "events").groupBy("user_id").agg(F.collect_set("event_type").alias("f"))
+    chosen = sampling.diverse_keys(users, "user_id", "f", 20)
     return spark.createDataFrame(list(enumerate(chosen, 1)), "rank long, user_id long")
 
 
