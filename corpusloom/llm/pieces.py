@@ -2,14 +2,18 @@
 
 Encoding starts from single characters. The agenda of a word holds its adjacent pairs
 whose union is a piece; the best-scored, leftmost one is merged next. Each candidate is
-skipped if a hash keyed by seed, variant, word and the candidate's span falls below the
-dropout rate, so a text's segmentation is a function of (seed, variant, text), is the
-same on any executor or retry, and varies with the variant. A document's variant is a
-hash of its id. With rate 0 the ids are those of the library.
+skipped if a hash keyed by seed, document, the word's position in it and the candidate's
+span falls below the dropout rate, so a text's segmentation is a function of (seed,
+variant, text), is the same on any executor or retry, and each occurrence of a word is
+segmented for itself. A document's variant is a 64-bit hash of its id. With rate 0 the
+ids are those of the library.
 
 No piece has a space mark after another character, so the words of a text (with the
-spaces before them) are independent: each distinct (variant, word) of a task is
-segmented once, all new ones of a batch together, one merge of each per step.
+spaces before them) are independent. What does not depend on the key is kept: for a word
+and the candidates skipped so far, the candidates drawn next if none of them is skipped,
+and the pieces that come out then (a node, kept from its second use on). An occurrence draws its own hash for each
+candidate, and the first one that is skipped leads to the next node. New nodes of a batch
+are worked out together, one merge of each per step, and so are occurrences without one.
 
 Characters without a piece, and literal space marks (U+2581), become byte pieces, which
 makes decoding lossless for every text: it concatenates the pieces' bytes and drops the
@@ -28,7 +32,6 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,10 +39,15 @@ from pyspark.sql import types as T
 from corpusloom.llm import words as W
 from corpusloom.session import table
 
-RATE, SEED, VARIANTS = 0.1, 20240229, 4
+RATE, SEED = 0.1, 20240229
 MARK = "▁"
 NEVER = np.int32(2**31 - 1)
 WORDS = 1 << 18
+#: Occurrences of words that are drawn for at once.
+DRAWS = 1 << 15
+#: A word with more candidates than this skips some at almost every occurrence, and its
+#: occurrences are segmented one by one, by the same hashes, as no node would be met again.
+MANY = 64
 _WORD = re.compile(r"\n| *[^ \n]+| +")
 
 
@@ -90,10 +98,12 @@ def model(path: str) -> Model:
     return Model(path)
 
 
-def segment(m: Model, words: list[str], seeds: np.ndarray, rate: float) -> tuple[np.ndarray, np.ndarray]:
-    """Piece ids of all words, byte pieces included, and how many each word has.
+def segment(m: Model, words: list[str], skipped: list[tuple[int, ...]] | None = None, seeds: np.ndarray | None = None, limit: np.uint64 = np.uint64(0)) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Piece ids of all words, byte pieces included, and how many each word has; spans of
+    the candidates that each word draws, in order, and how many.
 
-    seeds: for each word, the hash of seed, variant and word that keys its dropout.
+    skipped: for each word, the spans that dropout skips. seeds: instead, what keys each
+    word's own hashes, of which those below limit skip.
     """
     chars = "".join(words)
     sizes = np.fromiter(map(len, words), np.int64, len(words))
@@ -101,16 +111,23 @@ def segment(m: Model, words: list[str], seeds: np.ndarray, rate: float) -> tuple
     word = np.repeat(np.arange(len(words)), sizes)
     first = np.arange(len(chars))  # a symbol's first character, in chars
     base = np.cumsum(sizes) - sizes
-    limit = np.uint64(min(int(rate * 2.0**64), 2**64 - 1))
+    skipped = skipped or [()] * len(words)
+    most = max(map(len, skipped), default=0)
+    gone_spans = np.array([x + (-1,) * (most - len(x)) for x in skipped], np.int64).reshape(len(words), most)
+    drawn: list[tuple[np.ndarray, np.ndarray]] = []
     done: list[tuple[np.ndarray, np.ndarray]] = []
 
     def candidates(i: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(rank, union) of the pairs (i, i+1); last: the end of i+1, in chars."""
         union = m.unions(ids[i], ids[i + 1])
         rank = np.where(union >= 0, m.rank[union], NEVER)
-        if rate:
-            w = word[i]
-            span = ((first[i] - base[w]) << 42) + ((first[i + 1] - base[w]) << 21) + (last - base[w])
+        w = word[i]
+        span = ((first[i] - base[w]) << 42) + ((first[i + 1] - base[w]) << 21) + (last - base[w])
+        real = union >= 0
+        drawn.append((w[real], span[real]))
+        if most:
+            rank[(gone_spans[w] == span[:, None]).any(1)] = NEVER
+        if seeds is not None:
             rank[W.mixed(seeds[w] + span.astype(np.uint64) * W.MIX1) < limit] = NEVER
         return rank, union
 
@@ -162,68 +179,168 @@ def segment(m: Model, words: list[str], seeds: np.ndarray, rate: float) -> tuple
     by = np.argsort(at, kind="stable")
     at, flat = at[by], flat[by]
     owner = np.repeat(np.arange(len(words)), sizes)[at] if len(at) else np.zeros(0, np.int64)
+    w = np.concatenate([d[0] for d in drawn]) if drawn else np.zeros(0, np.int64)
+    by = np.argsort(w, kind="stable")  # each word's in the order drawn
+    spans = np.concatenate([d[1] for d in drawn])[by] if drawn else np.zeros(0, np.int64)
+    draws = np.bincount(w, minlength=len(words))
     plain = flat >= 0
     if plain.all():
-        return flat, np.bincount(owner, minlength=len(words))
+        return flat, np.bincount(owner, minlength=len(words)), spans, draws
     width = np.ones(len(flat), np.int64)
     odd = np.flatnonzero(~plain)
     raw = [chars[at[o]].encode() for o in odd]
     width[odd] = [len(r) for r in raw]
     out = np.repeat(flat, width)
     out[out < 0] = m.byte_id[np.frombuffer(b"".join(raw), np.uint8)]
-    return out, np.bincount(owner, width, minlength=len(words)).astype(np.int64)
+    return out, np.bincount(owner, width, minlength=len(words)).astype(np.int64), spans, draws
+
+
+class Grown:
+    """An array that grows at its end."""
+
+    def __init__(self, dtype):
+        self.room, self.n = np.zeros(1024, dtype), 0
+
+    def add(self, new: np.ndarray) -> None:
+        if self.n + len(new) > len(self.room):
+            self.room = np.concatenate([self.room[: self.n], np.zeros(self.n + 2 * len(new), self.room.dtype)])
+        self.room[self.n : self.n + len(new)] = new
+        self.n += len(new)
+
+
+def ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """starts[0], starts[0] + 1, ... of each size, one after another."""
+    total = np.cumsum(sizes)
+    return np.repeat(starts - (total - sizes), sizes) + np.arange(int(total[-1]) if len(total) else 0)
+
+
+class Known(dict):
+    """word -> node. A word gets its node at its second occurrence; at the first it is -1
+    and goes to single."""
+
+    def __init__(self, most: int):
+        self.most, self.once, self.single, self.new = most, set(), [], []
+        self.count = 0
+
+    def __missing__(self, word: str) -> int:
+        if word not in self.once:
+            if len(self.once) >= self.most:
+                self.once.clear()
+            self.once.add(word)
+            self.single.append(word)
+            return -1
+        i = self[word] = self.count + len(self.new)
+        self.new.append((word, (), 0))
+        return i
 
 
 class Encoder:
-    """Encodes texts; keeps the segmentation of each (variant, word) it has met."""
+    """Encodes texts; keeps the nodes of the words it has met."""
 
     def __init__(self, m: Model, rate: float = RATE, seed: int = SEED, most: int = WORDS):
         self.m, self.rate, self.seed, self.most = m, rate, seed, most
+        self.limit = np.uint64(min(int(rate * 2.0**64), 2**64 - 1))
         self.reset()
 
     def reset(self) -> None:
-        self.known: dict[int, dict[str, int]] = {}
-        self.count, self.new = 0, []
-        self.lengths, self.flat = np.zeros(0, np.int64), np.zeros(0, np.int32)
-
-    def _place(self, variant: int):
-        known = self.known.setdefault(variant, {})
-        new = self.new
-
-        def place(word: str) -> int:
-            i = known.get(word)
-            if i is None:
-                i = known[word] = self.count
-                self.count += 1
-                new.append((variant, word))
-            return i
-
-        return place
+        self.known = Known(self.most)
+        self.words: list[str] = []
+        self.skipped: list[tuple[int, ...]] = []
+        #: For each node its number of pieces, where its draws are, and how many went before.
+        self.size, self.first, self.draws, self.before = (Grown(np.int64) for _ in range(4))
+        self.flat = Grown(np.int32)
+        #: For each draw its span, its node, and the node that skipping it leads to: -1 if
+        #: that was never met, -2 if once.
+        self.span, self.owner, self.child = (Grown(np.int64) for _ in range(3))
+
+    def _work_out(self) -> None:
+        """Adds the new nodes (word, skipped spans, how many draws went before)."""
+        new, count = self.known.new, self.known.count
+        if not new:
+            return
+        flat, sizes, spans, draws = segment(self.m, [x[0] for x in new], [x[1] for x in new])
+        before = np.array([x[2] for x in new], np.int64)
+        left = draws - before
+        self.size.add(sizes)
+        self.flat.add(flat)
+        self.before.add(before)
+        self.first.add(self.span.n + np.cumsum(left) - left)
+        self.draws.add(left)
+        self.span.add(spans[ranges(np.cumsum(draws) - left, left)])
+        self.owner.add(np.repeat(np.arange(count, count + len(new)), left))
+        self.child.add(np.full(int(left.sum()), -1))
+        self.words += [x[0] for x in new]
+        self.skipped += [x[1] for x in new]
+        self.known.count += len(new)
+        new.clear()
+
+    def _drawn(self, node: np.ndarray, seeds: np.ndarray) -> list[str]:
+        """Leads each occurrence from its word's node to the one of its own draws, or to -1
+        if that is not kept; the words of those that it set to -1, in order."""
+        alone: dict[int, str] = {}
+        live = np.flatnonzero(node >= 0)
+        many = self.draws.room[node[live]] > MANY
+        for i in live[many].tolist():
+            alone[i] = self.words[node[i]]
+        live = live[~many]
+        while len(live):
+            n = self.draws.room[node[live]]
+            at = ranges(self.first.room[node[live]], n)
+            hit = np.flatnonzero(W.mixed(np.repeat(seeds[live], n) + self.span.room[at].astype(np.uint64) * W.MIX1) < self.limit)
+            whose = np.searchsorted(np.cumsum(n), hit, side="right")
+            first = np.append(True, whose[1:] != whose[:-1])[: len(hit)]
+            at, live = at[hit[first]], live[whose[first]]
+            unmet, times = np.unique(at[self.child.room[at] < 0], return_counts=True)
+            again = (times > 1) | (self.child.room[unmet] == -2)
+            self.child.room[unmet[~again]] = -2
+            for p in unmet[again].tolist():
+                o = int(self.owner.room[p])
+                self.child.room[p] = self.known.count + len(self.known.new)
+                self.known.new.append((self.words[o], (*self.skipped[o], int(self.span.room[p])), int(self.before.room[o]) + p - int(self.first.room[o]) + 1))
+            self._work_out()
+            kept = self.child.room[at] >= 0
+            for i in live[~kept].tolist():
+                alone[i] = self.words[node[i]]
+            node[live[kept]] = self.child.room[at[kept]]
+            live = live[kept]
+        out = sorted(alone)
+        node[out] = -1
+        return [alone[i] for i in out]
 
     def encode(self, texts: list[str], variants: list[int]) -> list[np.ndarray]:
-        if self.count > self.most:
+        if self.known.count > self.most:
             self.reset()
-        parts = []
-        for text, variant in zip(texts, variants):
-            words = _WORD.findall(" " + text) if text else []
-            known = self.known.setdefault(variant, {})
-            try:
-                at = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
-            except KeyError:
-                at = np.fromiter(map(self._place(variant), words), np.int64, len(words))
-            parts.append(at)
-        if self.new:
-            seeds = np.array([xxhash.xxh3_64_intdigest(w, self.seed + v) for v, w in self.new], np.uint64)
-            flat, lengths = segment(self.m, [w for _, w in self.new], seeds, self.rate)
-            self.lengths, self.flat = np.concatenate([self.lengths, lengths]), np.concatenate([self.flat, flat])
-            self.new.clear()
-        starts = np.cumsum(self.lengths) - self.lengths
-        out = []
-        for at in parts:
-            n = self.lengths[at]
-            total = np.cumsum(n)
-            out.append(self.flat[np.repeat(starts[at] - (total - n), n) + np.arange(int(total[-1]) if len(total) else 0)])
-        return out
+        get = self.known.__getitem__
+        parts = [np.fromiter(map(get, words), np.int64, len(words)) for words in (_WORD.findall(" " + t) if t else [] for t in texts)]
+        if not parts:
+            return []
+        self._work_out()
+        sizes = np.fromiter(map(len, parts), np.int64, len(parts))
+        node = np.concatenate(parts)
+        documents = W.mixed(np.array([(v ^ self.seed * 0x9E3779B97F4A7C15) % 2**64 for v in variants], np.uint64))
+        seeds = W.mixed(np.repeat(documents, sizes) + (ranges(np.zeros(len(sizes), np.int64), sizes) + 1).astype(np.uint64) * W.MIX2)
+        alone = np.flatnonzero(node < 0)
+        words = np.empty(len(node), object)
+        words[alone] = self.known.single
+        self.known.single.clear()
+        if self.rate:
+            for i in range(0, len(node), DRAWS):
+                own = node[i : i + DRAWS]
+                was = own < 0
+                found = self._drawn(own, seeds[i : i + DRAWS])
+                words[i + np.flatnonzero((own < 0) & ~was)] = found
+            alone = np.flatnonzero(node < 0)
+        # occurrences whose node is not kept are segmented by their own hashes
+        flats, lengths = [self.flat.room[: self.flat.n]], [self.size.room[: self.size.n]]
+        for i in range(0, len(alone), DRAWS):
+            part = alone[i : i + DRAWS]
+            flat, n, _, _ = segment(self.m, words[part].tolist(), None, seeds[part], self.limit)
+            flats.append(flat)
+            lengths.append(n)
+        node[alone] = self.known.count + np.arange(len(alone))
+        flat, n = np.concatenate(flats), np.concatenate(lengths)
+        starts = np.cumsum(n) - n
+        return [flat[ranges(starts[at], n[at])] for at in np.split(node, np.cumsum(sizes)[:-1])]
 
 
 def decode(m: Model, ids: np.ndarray) -> bytes:
@@ -252,10 +369,9 @@ def _encoded(path: str, text: str, rate: float, seed: int):
 ADDED = ("ids", "n_pieces", "ids_crc32", "lossless")
 
 
-def encode_documents(docs: DataFrame, path: str, keys: tuple[str, ...] = ("doc_id",), text: str = "text", rate: float = RATE, seed: int = SEED, variants: int = VARIANTS) -> DataFrame:
+def encode_documents(docs: DataFrame, path: str, keys: tuple[str, ...] = ("doc_id",), text: str = "text", rate: float = RATE, seed: int = SEED) -> DataFrame:
     """keys, variant, ids, n_pieces, ids_crc32 and whether decoding gives the text."""
-    chosen = F.coalesce(F.pmod(F.xxhash64(F.lit(seed), F.col(keys[0])), F.lit(variants)), F.lit(0)) if keys else F.lit(0)
-    variant = F.when(F.col(keys[0]).isNull(), 0).otherwise(chosen).cast("int")
+    variant = F.when(F.col(keys[0]).isNull(), 0).otherwise(F.xxhash64(F.lit(seed), F.col(keys[0]))) if keys else F.lit(0).cast("long")
     narrow = docs.select(*keys, variant.alias("variant"), W.as_bytes(text).alias("__text"))
     fields = [f for f in narrow.schema.fields if f.name != "__text"]
     kinds = (T.ArrayType(T.IntegerType()), T.LongType(), T.LongType(), T.BooleanType())

@@ -1,7 +1,6 @@
 """Jobs that were once done in part: each test fails on the earlier code."""
-from pyspark.sql import functions as F
-
 from corpusloom import queries
+from corpusloom.llm import pieces
 from corpusloom.operators import sampling
 
 
@@ -13,3 +12,23 @@ def test_diverse_selection_sees_every_user(spark, tmp_path):
     for u, t in rows:
         profiles.setdefault(u, set()).add(t)
     assert got == sampling.diverse(sorted(profiles.items()), 20) and {1499, 1200} <= set(got)
+
+
+def test_each_occurrence_has_its_own_dropout(spark):
+    path = pieces.public_model()
+    m = pieces.model(path)
+    text = " ".join(["international"] * 200)
+    rows = spark.createDataFrame([(i, text) for i in range(40)] + [(3, text)], "doc_id long, text string")
+    got = [(r.doc_id, tuple(r.ids)) for r in pieces.encode_documents(rows, path).where("lossless").collect()]
+    assert len(got) == 41 and len(set(got)) == len({ids for _, ids in got}) == 40
+
+
+def test_nodes_give_what_each_occurrence_gives_alone(monkeypatch):
+    m = pieces.model(pieces.public_model())
+    texts = ["the internationalisation of the cafés, 日本 🎉 " * 30, "", "a" * 300 + " the  the\n", " ".join(f"word{i % 50}" for i in range(3000))]
+    kept = pieces.Encoder(m, 0.2).encode(texts, [5, 6, -7, 2**62])
+    pieces_by_word = len({tuple(x) for x in (pieces.Encoder(m, 0.2).encode(["international"], [v])[0].tolist() for v in range(200))})
+    monkeypatch.setattr(pieces, "MANY", -1)
+    alone = pieces.Encoder(m, 0.2).encode(texts, [5, 6, -7, 2**62])
+    assert [x.tolist() for x in kept] == [x.tolist() for x in alone] and pieces_by_word > 4
+    assert [pieces.decode(m, x).decode() for x in kept] == texts
