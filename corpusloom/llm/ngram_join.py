@@ -22,6 +22,12 @@ and its nearest one, then all that are left. Members of one component need no fu
 comparison, so a group of copies costs its size, not its square. Signatures with many
 members are dealt to pairs of chunks. Texts of candidates are sent to be verified.
 
+The links found so far make the components, but are not all. Linked sets are always in
+one component, so the number of links compares every two sets of each component: its
+sets are dealt to blocks of two chunks, a block gets each text once, and what leaves it
+is each set's number of linked documents. No pair is a row. The work is the square of a
+component's distinct sets, which is what its links may number.
+
 Defined results: a null or empty text, or one without words, has an empty set and is
 linked with nothing; repeated rows share a class; documents with null ids are matched
 but never give a component its id; an empty table gives no rows.
@@ -53,6 +59,8 @@ CELL_BITS, CELL_CHUNKS = 20, 16
 DEVIATIONS, LEAST_COMMON = 8, 64
 BINS = 128
 CHUNK = 2000
+#: Sets of a component that a chunk of its blocks has, about.
+BLOCK = 256
 #: How many least members of a signature are compared with all its other ones.
 STARS = 3
 #: Pairs whose histograms are compared at once.
@@ -337,7 +345,8 @@ def profiles(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tup
 
 
 def links(docs: DataFrame, of: DataFrame, bits: bytes, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Verified links (a, b) between nodes; they connect whatever all links connect."""
+    """Verified links (a, b) between nodes; they connect whatever all links connect, and
+    link_counts() has the number of all."""
     narrow = docs.select(F.col(doc_id).cast("long").alias("doc_id"), W.as_bytes(text).alias("text"))
     spark = docs.sparkSession
     total = of.agg(F.sum("n")).first()[0] or 0
@@ -405,8 +414,52 @@ def _crossed(apart: DataFrame, profile: DataFrame, nearest: bool) -> DataFrame:
     return dealt_out.mapInArrow(partial(_cross, nearest), "a long, b long").distinct()
 
 
-def components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row for each document: doc_id, n_shingles, component_id, class_id (of equal sets)."""
+def _counted(rows: pa.Table) -> pa.Table:
+    """A block (node, size, side, text) -> each node's number of linked documents there.
+
+    Blocks of one chunk have side 0 only and every pair; others have pairs of both sides.
+    Texts were found by document id; one that is not its node's is another row's."""
+    vocabulary, sets, sides, sizes = W.Words(), {}, [], []
+    for node, size, side, text in zip(*(rows.column(c).to_pylist() for c in ("node", "size", "side", "text"))):
+        if node not in sets and node_of(h := W.shingle_sets([text], vocabulary, SHINGLE)[0]) == node:
+            sets[node] = h
+            sides.append(side)
+            sizes.append(size)
+    side, size = np.array(sides, np.int64), np.array(sizes, np.int64)
+    n = np.array([len(h) for h in sets.values()], np.int64)
+    total = np.zeros(len(n), np.int64)
+    if len(n) > 1:
+        names, flat = np.unique(np.concatenate(list(sets.values())), return_inverse=True)
+        starts, has = np.cumsum(n) - n, np.zeros(len(names), bool)
+        both = side.min() != side.max()
+        for i in range(len(n)):
+            own = flat[starts[i] : starts[i] + n[i]]
+            has[own] = True
+            common = np.add.reduceat(has[flat], starts, dtype=np.int64)
+            has[own] = False
+            linked = 100 * common >= PERCENT * (n + n[i] - common)
+            linked[i] = False
+            total[i] = size[linked & (side != side[i]) if both else linked].sum()
+    return pa.table({"node": pa.array(list(sets), pa.int64()), "linked": pa.array(total, pa.int64())})
+
+
+def link_counts(docs: DataFrame, of: DataFrame, label: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(node, linked): the documents, other than its own copies, that a node is linked with;
+    nodes without a component are left out."""
+    texts = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)).alias("doc_id"), W.as_bytes(text).alias("text"))
+    classes = of.where("n > 0").groupBy("node").agg(F.min(F.coalesce("doc_id", F.lit(NO_ID))).alias("doc_id"), F.count(F.lit(1)).alias("size"))
+    chunks = label.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("chunks"))
+    nodes = written(label.join(chunks, "component").join(classes, "node"), "counted")
+    full = nodes.join(texts, "doc_id").withColumn("mine", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
+    full = full.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    lo, hi = F.least("mine", "other").alias("lo"), F.greatest("mine", "other").alias("hi")
+    full = full.select("component", lo, hi, "node", "size", F.when(F.col("mine") == F.col("other"), 0).otherwise(F.when(F.col("mine") < F.col("other"), 0).otherwise(1)).alias("side"), "text")
+    counted = full.groupBy("component", "lo", "hi").applyInArrow(_counted, "node long, linked long")
+    return counted.groupBy("node").agg(F.sum("linked").alias("linked"))
+
+
+def _labelled(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The documents with component_id and class_id; profiles; nodes' components."""
     of, bits = profiles(docs, doc_id, text)
     label = connected_components(links(docs, of, bits, doc_id, text))
     classes = of.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("class_id"))
@@ -414,7 +467,22 @@ def components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
     least = grouped.groupBy("component").agg(F.min("class_id").alias("component_id"))
     known = grouped.join(least, "component").select("node", "class_id", "component_id")
     out = of.join(known, "node", "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("class_id", "doc_id").alias("class_id"))
+    return out.select("node", "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("class_id", "doc_id").alias("class_id")), of, label
+
+
+def components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row for each document: doc_id, n_shingles, component_id, class_id (of equal sets)."""
+    return _labelled(docs, doc_id, text)[0].drop("node")
+
+
+def counted_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """components() and n_links: how many other documents each one is linked with, copies
+    included."""
+    found, of, label = _labelled(docs, doc_id, text)
+    counts = link_counts(docs, of, label, doc_id, text)
+    copies = of.where("n > 0").groupBy("node").agg((F.count(F.lit(1)) - 1).alias("copies"))
+    out = found.join(copies, "node", "left").join(counts, "node", "left")
+    return out.select("doc_id", "n_shingles", "component_id", "class_id", (F.coalesce("copies", F.lit(0)) + F.coalesce("linked", F.lit(0))).alias("n_links"))
 
 
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -427,3 +495,8 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
 
 def op5_partenum(spark, sf_dir):
     return components(table(spark, sf_dir, "documents"))
+
+
+def op5_partenum_links(spark, sf_dir):
+    """op5_partenum, whose SQL has no number of links, with the number of links."""
+    return counted_components(table(spark, sf_dir, "documents"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from corpusloom.llm.decontaminate import op8_edit_matches
 from corpusloom.llm.language_model import op2_deleted_interpolation
 from corpusloom.llm.line_dedup import op10_prefix_doubling
-from corpusloom.llm.ngram_join import op5_partenum
+from corpusloom.llm.ngram_join import op5_partenum, op5_partenum_links
 from corpusloom.llm.pieces import op3_merge_dropout
 from corpusloom.llm.quality import op9_host_rules
 from corpusloom.llm.reshard import op6_min_cost_flow
@@ -19,6 +19,7 @@ QUERIES = {
     "op3_merge_dropout": op3_merge_dropout,
     "op4_splittable_warc": op4_splittable_warc,
     "op5_partenum": op5_partenum,
+    "op5_partenum_links": op5_partenum_links,
     "op6_min_cost_flow": op6_min_cost_flow,
     "op7_elias_fano": op7_elias_fano,
     "op8_edit_matches": op8_edit_matches,

@@ -1,6 +1,7 @@
 """Jobs that were once done in part: each test fails on the earlier code."""
+import random
 from corpusloom import queries
-from corpusloom.llm import pieces
+from corpusloom.llm import ngram_join, pieces
 from corpusloom.operators import sampling
 
 
@@ -32,3 +33,19 @@ def test_nodes_give_what_each_occurrence_gives_alone(monkeypatch):
     alone = pieces.Encoder(m, 0.2).encode(texts, [5, 6, -7, 2**62])
     assert [x.tolist() for x in kept] == [x.tolist() for x in alone] and pieces_by_word > 4
     assert [pieces.decode(m, x).decode() for x in kept] == texts
+
+
+def test_every_link_is_counted(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "BLOCK", 16)  # components of several blocks
+    rng = random.Random(7)
+    base = [f"v{i}" for i in range(90)]
+    rows = [(1, None), (2, ""), (3, "lone words here")]
+    for i in range(70):
+        w = list(base)
+        for _ in range(rng.randrange(4)):
+            w[rng.randrange(90)] = f"z{rng.randrange(10**6)}"
+        rows += [(100 + i, " ".join(w))] * (2 if i % 9 == 0 else 1) + ([(1000 + i, " ".join(w).upper())] if i % 5 == 0 else [])
+    sets = [(i, frozenset(zip(*[w[j:] for j in range(min(5, len(w)))])) if len(w) >= 5 else frozenset([tuple(w)] if w else [])) for i, w in ((i, (t or "").lower().split()) for i, t in rows)]
+    want = sorted((i, sum(bool(s & o) and 100 * len(s & o) >= 80 * len(s | o) for _, o in sets) - bool(s)) for i, s in sets)
+    got = sorted((r.doc_id, r.n_links) for r in ngram_join.counted_components(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == want and max(n for _, n in want) < len(rows) - 4
