@@ -62,27 +62,71 @@ def diverse_keys(profiles: DataFrame, key: str, features: str, n: int) -> list:
     return diverse([(r[key], set(r["__set"])) for r in first], n, freq)
 
 
-def assign_groups(sizes: dict[str, int], shares: dict[str, float], steps: int = 2000, seed: int = 42) -> dict[str, str]:
-    """Whole groups to splits: largest first to the split with most room, then moves
-    that lessen the squared distance from the shares."""
-    total = sum(sizes.values()) or 1
-    target = {s: total * x for s, x in shares.items()}
-    got = dict.fromkeys(shares, 0)
-    out = {}
-    for g in sorted(sizes, key=lambda g: (-sizes[g], g)):
-        s = max(shares, key=lambda s: (target[s] - got[s], s))
-        out[g], got[s] = s, got[s] + sizes[g]
-    names, splits, rng = sorted(sizes), sorted(shares), random.Random(seed)
-    cost = lambda: sum((got[s] - target[s]) ** 2 for s in splits)
+def split_objective(totals: dict[str, dict[str, int]], whole: dict[str, int], shares: dict[str, float], labels: list[str], bounds: dict[str, tuple[float, float]]) -> float:
+    """How far splits are from their shares: of rows (weight 8), of each label, and from
+    the bounds of their part of the rows (weight 10,000). whole, totals: "" has the rows."""
+    score, rows = 0.0, whole[""]
+    for split, share in shares.items():
+        got = totals[split]
+        score += 8.0 * ((got[""] - rows * share) / max(rows * share, 1)) ** 2
+        for label in labels:
+            target = whole[label] * share
+            score += ((got[label] - target) / max(target, 1)) ** 2
+        if split in bounds and rows:
+            part, (low, high) = got[""] / rows, bounds[split]
+            score += 10000 * (max(low - part, 0) ** 2 + max(part - high, 0) ** 2)
+    return score
+
+
+def assign_groups(sizes: dict, shares: dict[str, float], steps: int = 30000, seed: int = 42, labels: dict[object, dict[str, int]] | None = None, bounds: dict[str, tuple[float, float]] | None = None) -> dict:
+    """Whole groups to splits: those with the rarest labels first, each to the split that
+    makes split_objective() least, then seeded moves and swaps that lessen it.
+
+    labels: of each group its number of rows with each label; all in the driver's memory."""
+    own = labels or {}
+    names = sorted({x for counts in own.values() for x in counts})
+    count = {g: {"": sizes[g]} | {x: own.get(g, {}).get(x, 0) for x in names} for g in sizes}
+    whole = {x: sum(c[x] for c in count.values()) for x in ["", *names]}
+    totals = {s: dict.fromkeys(whole, 0) for s in shares}
+    bounds, rng = bounds or {}, random.Random(seed)
+    keys, splits = sorted(sizes), list(shares)
+    tie = {g: rng.random() for g in keys}
+    out: dict = {}
+
+    def put(g, split: str, sign: int = 1) -> None:
+        for x, n in count[g].items():
+            totals[split][x] += sign * n
+
+    def cost() -> float:
+        return split_objective(totals, whole, shares, names, bounds)
+
+    def tried(g, split: str) -> tuple[float, str]:
+        put(g, split)
+        score = cost()
+        put(g, split, -1)
+        return score, split
+
+    for g in sorted(keys, key=lambda g: (sum(count[g][x] / max(whole[x], 1) for x in names), sizes[g], tie[g]), reverse=True):
+        out[g] = min(tried(g, s) for s in splits)[1]
+        put(g, out[g])
     now = cost()
-    for _ in range(steps if names else 0):
-        g, s = rng.choice(names), rng.choice(splits)
-        old = out[g]
-        got[old] -= sizes[g]
-        got[s] += sizes[g]
-        if (new := cost()) < now:
-            out[g], now = s, new
+    for _ in range(steps if keys and len(splits) > 1 else 0):
+        if len(keys) < 2 or rng.random() < 0.55:
+            g = rng.choice(keys)
+            changes = [(g, rng.choice([s for s in splits if s != out[g]]))]
+        else:
+            a, b = rng.sample(keys, 2)
+            if out[a] == out[b]:
+                continue
+            changes = [(a, out[b]), (b, out[a])]
+        for g, s in changes:
+            put(g, out[g], -1)
+            put(g, s)
+        if (new := cost()) + 1e-12 < now:
+            now = new
+            out.update(changes)
         else:
-            got[s] -= sizes[g]
-            got[old] += sizes[g]
+            for g, s in changes:
+                put(g, s, -1)
+                put(g, out[g])
     return out

@@ -274,13 +274,31 @@ def quota_allocation(spark, d):
     return sampling.quotas(c, "source", "n", 100)
 
 
+SPLITS = {"train": 0.7, "validation": 0.15, "test": 0.15}
+SPLIT_BOUNDS = {"train": (0.70, 0.80), "validation": (0.10, 0.15), "test": (0.10, 0.15)}
+
+
+def _split(spark, rows, key, kind, labels):
+    """Whole groups of rows to splits; the groups' counts, not their rows, reach the driver."""
+    counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n"), *(F.count_if(c).alias(x) for x, c in labels.items())).collect()
+    sizes = {r[key]: r["n"] for r in counts}
+    out = sampling.assign_groups(sizes, SPLITS, labels={r[key]: {x: r[x] for x in labels} for r in counts}, bounds=SPLIT_BOUNDS)
+    return spark.createDataFrame(sorted((g, sizes[g], s) for g, s in out.items()), f"{key} {kind}, n long, split string")
+
+
 @query()
 def group_stratified_split(spark, d):
-    """Whole sources to splits; the sources' counts, not their rows, reach the driver."""
-    docs = table(spark, d, "documents")
-    sizes = {r["source"]: r["n"] for r in docs.groupBy("source").agg(F.count(F.lit(1)).alias("n")).collect()}
-    out = sampling.assign_groups(sizes, {"train": 0.7, "validation": 0.15, "test": 0.15})
-    return spark.createDataFrame(sorted((s, sizes[s], t) for s, t in out.items()), "source string, n long, split string")
+    """All users of the events, stratified by event type."""
+    e = table(spark, d, "events").where("user_id is not null")
+    kinds = sorted(r[0] for r in e.select("event_type").distinct().collect() if r[0] is not None)
+    return _split(spark, e, "user_id", "long", {f"is_{k}": F.col("event_type") == k for k in kinds})
+
+
+@query()
+def group_stratified_split_sources(spark, d):
+    """All sources of the documents, stratified by the values of their labels."""
+    docs = table(spark, d, "documents").where("source is not null").join(table(spark, d, "labels"), "doc_id", "left")
+    return _split(spark, docs, "source", "string", {f"{c}_{v}": F.col(c) == v for c in ("quality", "toxic") for v in (0, 1)})
 
 
 @query()

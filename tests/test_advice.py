@@ -49,3 +49,28 @@ def test_every_link_is_counted(spark, monkeypatch):
     want = sorted((i, sum(bool(s & o) and 100 * len(s & o) >= 80 * len(s | o) for _, o in sets) - bool(s)) for i, s in sets)
     got = sorted((r.doc_id, r.n_links) for r in ngram_join.counted_components(spark.createDataFrame(rows, "doc_id long, text string")).collect())
     assert got == want and max(n for _, n in want) < len(rows) - 4
+
+
+def test_rare_labels_are_in_every_split():
+    sizes = {f"g{i:02}": 10 for i in range(40)}
+    labels = {g: {"rare": 10 if i < 7 else 0, "common": 5} for i, g in enumerate(sizes)}
+    bounds = {"train": (0.7, 0.8), "val": (0.1, 0.15), "test": (0.1, 0.15)}
+    shares = {"train": 0.7, "val": 0.15, "test": 0.15}
+
+    def objective(got):
+        whole = {"": 400, "rare": 70, "common": 200}
+        totals = {s: {"": sum(sizes[g] for g in got if got[g] == s)} | {x: sum(labels[g][x] for g in got if got[g] == s) for x in ("rare", "common")} for s in shares}
+        return sampling.split_objective(totals, whole, shares, ["common", "rare"], bounds)
+
+    out = sampling.assign_groups(sizes, shares, labels=labels, bounds=bounds)
+    greedy = sampling.assign_groups(sizes, shares, 0, labels=labels, bounds=bounds)
+    assert {out[g] for g in list(sizes)[:7]} == set(shares) and set(out) == set(sizes)
+    assert objective(out) <= objective(greedy) and [list(out.values()).count(s) for s in shares] == [28, 6, 6]
+
+
+def test_split_takes_every_user(spark):
+    sf = "/root/testdata/sf0.001"
+    users = {r.user_id for r in spark.read.parquet(f"{sf}/events.parquet").select("user_id").distinct().collect()}
+    got = queries.group_stratified_split(spark, sf).collect()
+    assert len(got) == len(users) and {r.user_id for r in got} == users
+    assert {r.split for r in got} == {"train", "validation", "test"}
