@@ -57,15 +57,18 @@ ORACLE_SQL = {
         g AS (SELECT doc_id, i, array_to_string(list_slice(words, i, i + 7), ' ') AS g FROM (SELECT doc_id, words, unnest(range(1, len(words) - 6)) AS i FROM w WHERE len(words) >= 8)),
         f AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS n FROM g) WHERE n > 1),
         r AS (SELECT doc_id, count(DISTINCT i + j) AS n FROM f, (SELECT unnest(range(0, 8)) AS j) GROUP BY doc_id),
-        l AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM w) WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id),
+        l AS (SELECT doc_id, count(*) AS lines, count(*) - count(DISTINCT line) AS n FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM w) WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id),
         m AS (SELECT w.doc_id, host, CAST(len(words) AS BIGINT) AS n_words, CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
-              CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, CAST(coalesce(l.n, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(r.n, 0) AS BIGINT) AS n_repeat_words
+              CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, CAST(coalesce(l.n, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(r.n, 0) AS BIGINT) AS n_repeat_words, CAST(coalesce(l.lines, 0) AS BIGINT) AS n_lines
               FROM w LEFT JOIN l ON l.doc_id = w.doc_id LEFT JOIN r ON r.doc_id = w.doc_id),
-        b AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m),
-        h AS (SELECT host, CAST(count(*) AS DOUBLE) AS n, CAST(count(*) FILTER (WHERE base_failed) AS DOUBLE) AS f FROM b GROUP BY host),
-        p AS (SELECT sum(f) / sum(n) AS mean, sum(f * f / n) / sum(n) AS square, count(*) / sum(n) AS share FROM h),
-        s AS (SELECT mean, greatest(1, least(1e6, mean * (1 - mean) / greatest(square - mean * mean - mean * (1 - mean) * share, 1e-9) - 1)) AS strength FROM p),
-        v AS (SELECT host, (f + mean * strength) / (n + strength) <= 0.5 AS ok FROM h, s)
-        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND ok AS kept
+        x AS (SELECT *, unnest([{'rule': 'few_words', 'failed': n_words < 20}, {'rule': 'repeats', 'failed': 100 * n_repeat_words > 30 * n_words},
+              {'rule': 'symbols', 'failed': 10 * n_symbols > n_words}, {'rule': 'dup_lines', 'failed': 10 * n_dup_lines > 3 * n_lines}]) AS u FROM m),
+        h AS (SELECT host, u.rule AS rule, CAST(count(*) AS DOUBLE) AS n, CAST(count(*) FILTER (WHERE u.failed) AS DOUBLE) AS f FROM x GROUP BY 1, 2),
+        p AS (SELECT rule, sum(f) / sum(n) AS mean, sum(f * f / n) / sum(n) AS square, count(*) / sum(n) AS share FROM h GROUP BY rule),
+        s AS (SELECT rule, mean, greatest(1, least(1e6, mean * (1 - mean) / greatest(square - mean * mean - mean * (1 - mean) * share, 1e-9) - 1)) AS strength FROM p),
+        t AS (SELECT host, n, mean, strength, (f + mean * strength) / (n + strength) AS rate FROM h JOIN s USING (rule)),
+        v AS (SELECT host, bool_and(rate - 3 * sqrt(rate * (1 - rate) / (n + strength + 1)) <= greatest(2 * mean, 0.2)) AS ok FROM t GROUP BY host),
+        b AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m)
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines, base_failed, NOT base_failed AND ok AS kept
         FROM b JOIN v ON b.host IS NOT DISTINCT FROM v.host""",
 }

@@ -34,6 +34,7 @@ def trimming(step):
     def run(*args):
         yield from step(*args)
         gc.collect()
+        pa.default_memory_pool().release_unused()
         with suppress(OSError, AttributeError):  # another C library has no such call
             ctypes.CDLL("libc.so.6").malloc_trim(0)
 
@@ -110,15 +111,20 @@ def shingle_sets(texts: list[bytes], vocabulary: Words, n: int = 5) -> tuple[np.
     the size of each set. A text of fewer words has its whole sequence as one."""
     words, counts = hashed(texts, vocabulary)
     h, owner = windows(words, counts, n)
+    sizes = np.bincount(owner, minlength=len(texts)).astype(np.int64)
     few = np.flatnonzero((counts > 0) & (counts < n))
     if len(few):
-        starts = np.concatenate([[0], np.cumsum(counts)])
+        starts = np.cumsum(counts) - counts
         whole = [xxhash.xxh3_64_intdigest(words[starts[i] : starts[i] + counts[i]].tobytes(), seed=int(counts[i])) for i in few]
-        h, owner = np.concatenate([h, np.array(whole, np.uint64)]), np.concatenate([owner, few])
-    order = np.lexsort((h, owner))
-    h, owner = h[order], owner[order]
+        h = np.insert(h, (np.cumsum(sizes) - sizes)[few], np.array(whole, np.uint64))
+        sizes[few] = 1
+    ends = np.cumsum(sizes)
+    for a, b in zip((ends - sizes).tolist(), ends.tolist()):
+        if b - a > 1:
+            h[a:b].sort()  # a text's own, in place: much cheaper than one sort by both
     if len(h):
+        owner = np.repeat(np.arange(len(texts)), sizes)
         first = np.ones(len(h), bool)
         first[1:] = (h[1:] != h[:-1]) | (owner[1:] != owner[:-1])
-        h, owner = h[first], owner[first]
-    return h, np.bincount(owner, minlength=len(texts)).astype(np.int64)
+        h, sizes = h[first], np.bincount(owner[first], minlength=len(texts)).astype(np.int64)
+    return h, sizes
