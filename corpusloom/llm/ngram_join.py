@@ -3,24 +3,27 @@
 A document's set is its distinct 5-word shingles, hashed to 64 bits. Sizes fall in
 bands I_0, I_1, ... with r_i = floor(l_i / 0.8), so linked sets are in one band or in
 neighbouring ones. Instance i joins the sets of I_(i-1) and I_i: linked sets there
-differ in at most k = floor(2 r_i / 9) shingles. The domain is split by hash into m > k
-parts; at least m-k parts of two linked sets are then equal, and each equal part gives
-both the same signature.
-
-Common passages must not make common signatures. A part that is empty or whose shingles
-are all common is weak. A set with fewer than m-k weak parts shares a strong part with
-every set it is linked to, so it sends strong parts only; other sets (copies of a text
-that is itself common) send all their parts. Either way no link can be missed: equal
-parts are equally weak. Which shingles count as common is read from a table of
+differ in at most k = floor(2 r_i / 9) shingles. The domain is split by hash into n1
+first-level parts of three second-level parts each, and every pair of second-level parts
+of one first-level part is a signature: 3 n1 for each set. However k differences fall,
+two linked sets have at least 2 n1 - k signatures in common.
+
+Common passages must not make common signatures. A signature is weak if all shingles in
+its parts are common, or if it has none. A set with fewer than 2 n1 - k weak signatures
+shares a strong one with every set it is linked to, so it sends strong ones only; other
+sets (copies of a text that is itself common) send all. Either way no link can be missed:
+equal signatures are equally weak. Which shingles count as common is read from a table of
 2**CELL_BITS counters, the same for all tasks; it may err without harm.
 
-Sets that share a signature are candidates. Round one compares each with the three least
-sets of its signature only, and verified links make components. The next rounds compare,
-inside a signature, sets that are still in different components, by size and by a
-histogram whose distance bounds the sets' difference from below: first each component
-and its nearest one, then all that are left. Members of one component need no further
-comparison, so a group of copies costs its size, not its square. Signatures with many
-members are dealt to pairs of chunks. Texts of candidates are sent to be verified.
+The sets that share signatures of one least member are a block. Each is compared with
+that least member first; verified links make components. In a block with more than one
+component the sets outside the largest one are then compared with all others, by size and
+by a histogram of the set with about one bin of two bits for each shingle, whose distance
+bounds the sets' difference from below (counts cut at three differ by no more than whole
+ones) and so excludes all but the nearly linked: first each component and its nearest
+one, then all that are left. Members of one component need no
+further comparison, so a group of copies costs its size, not its square. What an exact
+bound leaves over is verified on the texts.
 
 The links found so far make the components, but are not all. Linked sets are always in
 one component, so the number of links compares every two sets of each component: its
@@ -28,21 +31,24 @@ sets are dealt to blocks of two chunks, a block gets each text once, and what le
 is each set's number of linked documents. No pair is a row. The work is the square of a
 component's distinct sets, which is what its links may number.
 
+Sets and classes are told by 128 bits of hash, rows by 64 bits of that of id and text.
+
 Defined results: a null or empty text, or one without words, has an empty set and is
 linked with nothing; repeated rows share a class; documents with null ids are matched
-but never give a component its id; an empty table gives no rows.
+but never give a component its id; very long texts are handled whole; other columns are
+not read; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import lru_cache, partial, reduce
+from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm import words as W
@@ -57,20 +63,20 @@ CELL_BITS, CELL_CHUNKS = 20, 16
 #: A counter is common when it is above its chunk's median by this many times the median
 #: deviation, and by LEAST_COMMON: a bound that grows as the root of the input, not as it.
 DEVIATIONS, LEAST_COMMON = 8, 64
-BINS = 128
+#: A histogram has the least power of two of bins, in these bounds, that holds the set.
+LEAST_BINS, MOST_BINS = 64, 1 << 14
 CHUNK = 2000
 #: Sets of a component that a chunk of its blocks has, about.
 BLOCK = 256
-#: How many least members of a signature are compared with all its other ones.
-STARS = 3
-#: Pairs whose histograms are compared at once.
-PAIRS = 1 << 16
+#: Histogram cells that are compared at once.
+CELLS = 1 << 23
 #: Rounds that compare each component with its nearest one only, before the last.
 NEAREST_ROUNDS = 1
 BROADCAST_BYTES = 8 << 20
-NO_ID = -(1 << 63)
 BLOCK_SIGNATURES = 1 << 21
 ENTRIES = 1 << 21
+#: Sets whose copies a task has sent already, at most; then it forgets them.
+SEEN = 1 << 20
 _EMPTY = np.uint64(0xA0761D6478BD642F)
 
 
@@ -84,17 +90,23 @@ def bands(upto: int = 1 << 40) -> np.ndarray:
 
 
 def parameters(band: int) -> tuple[int, int]:
-    """(k, m) of an instance."""
+    """(k, n1) of an instance; with k = 0 linked sets are equal and need no signature."""
     k = int(bands()[band]) * 2 * (100 - PERCENT) // (100 + PERCENT)
-    return k, k + 4 + k // 8
+    return k, -(-(k + 1) // 2) + 1 + k // 16
+
+
+def bins_of(n: np.ndarray) -> np.ndarray:
+    """How many bins the histogram of a set of n shingles has; ascends with n."""
+    up = np.int64(1) << np.ceil(np.log2(np.maximum(n, 1))).astype(np.int64)
+    return np.clip(up, LEAST_BINS, MOST_BINS)
 
 
 @W.trimming
 def _profiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, text) -> a row for each document, and the task's counters."""
+    """(rid, doc_id, text) -> a row for each document, and the task's counters."""
     vocabulary, cells = W.Words(), np.zeros(1 << CELL_BITS, np.int64)
-    names = ["kind", "doc_id", "n", "node", "histogram", "chunk", "cells"]
-    kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.binary()]
+    names = ["kind", "rid", "doc_id", "n", "node", "histogram", "chunk", "cells"]
+    kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int32(), pa.binary()]
 
     def rows(kind, count, **columns):
         return pa.RecordBatch.from_arrays([pa.array([kind] * count if x == "kind" else columns.get(x, [None] * count), t) for x, t in zip(names, kinds)], names=names)
@@ -103,18 +115,22 @@ def _profiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for first, texts in W.steps(batch, "text"):
             h, sizes = W.shingle_sets(texts, vocabulary, SHINGLE)
             cells += np.bincount((h >> np.uint64(64 - CELL_BITS)).astype(np.int64), minlength=len(cells))
-            bins = np.repeat(np.arange(len(texts)), sizes) * BINS + (h & np.uint64(BINS - 1)).astype(np.int64)
-            histogram = np.minimum(np.bincount(bins, minlength=len(texts) * BINS), 255).astype(np.uint8).reshape(-1, BINS)
+            bins = np.where(sizes > 0, bins_of(sizes), 0)
+            upto = np.cumsum(bins)
+            at = np.repeat(upto - bins, sizes) + (h & np.repeat((bins - 1).astype(np.uint64), sizes)).astype(np.int64)
+            cut = np.minimum(np.bincount(at, minlength=int(upto[-1])), 3).astype(np.uint8).reshape(-1, 4)
+            flat = (cut << np.uint8([0, 2, 4, 6])).sum(1, dtype=np.uint8).tobytes()
             ends = np.cumsum(sizes)
             nodes = [node_of(h[e - n : e]) if n else None for e, n in zip(ends, sizes)]
-            yield rows(0, len(texts), doc_id=batch.column("doc_id").slice(first, len(texts)).cast(pa.int64()), n=sizes, node=nodes, histogram=[x.tobytes() for x in histogram])
+            own = batch.slice(first, len(texts))
+            yield rows(0, len(texts), rid=own.column("rid"), doc_id=own.column("doc_id").cast(pa.int64()), n=sizes, node=nodes, histogram=[flat[(u - b) // 4 : u // 4] if b else None for u, b in zip(upto.tolist(), bins.tolist())])
     if cells.any():
         yield rows(1, CELL_CHUNKS, chunk=list(range(CELL_CHUNKS)), cells=[pack(c.astype(np.uint32)) for c in np.split(cells, CELL_CHUNKS)])
 
 
-def node_of(shingles: np.ndarray) -> int:
-    """The class of a set: 64 bits of its hash, signed."""
-    return int(np.uint64(xxhash.xxh3_64_intdigest(shingles.tobytes())).astype(np.int64))
+def node_of(shingles: np.ndarray) -> bytes:
+    """The class of a set: 128 bits of its hash."""
+    return xxhash.xxh3_128_digest(shingles.tobytes())
 
 
 def _common(rows: pa.Table) -> pa.Table:
@@ -132,29 +148,36 @@ def signatures(h: np.ndarray, sizes: np.ndarray, common: np.ndarray) -> tuple[np
     ends = np.cumsum(sizes)
     weak = common[(h >> np.uint64(64 - CELL_BITS)).astype(np.int64)]
     place = W.mixed(h + _EMPTY)
+    one, two = [0, 0, 1], [1, 2, 2]
     for band in sorted({int(b) + d for b in np.unique(own[sizes > 0]) for d in (0, 1)}):
         sets = np.flatnonzero((sizes > 0) & ((own == band) | (own == band - 1)))
-        k, m = parameters(band)
+        k, n1 = parameters(band)
+        if not k:
+            continue
         n = sizes[sets]
         offsets = np.cumsum(n) - n
         at = np.repeat(ends[sets] - n - offsets, n) + np.arange(n.sum())
-        part = np.repeat(np.arange(len(sets)) * m, n) + (place[at] % np.uint64(m)).astype(np.int64)
-        total = np.zeros(len(sets) * m, np.uint64)
+        part = np.repeat(np.arange(len(sets)) * (3 * n1), n) + (place[at] % np.uint64(3 * n1)).astype(np.int64)
+        total = np.zeros(len(sets) * 3 * n1, np.uint64)
         np.add.at(total, part, place[at] * W.MIX1)
         strong = np.bincount(part[~weak[at]], minlength=len(total)) > 0
-        good = m - strong.reshape(-1, m).sum(1) < m - k
-        send = strong | np.repeat(~good, m)
-        which = np.tile(np.arange(m), len(sets)).astype(np.uint64)
-        sig = W.mixed(total + W.mixed((which + np.uint64(band << 32)) * W.MIX2 + _EMPTY))
-        out.append(sig[send])
-        owners.append(np.repeat(sets, m)[send])
+        total, strong = total.reshape(-1, 3), strong.reshape(-1, 3)
+        strong = (strong[:, one] | strong[:, two]).reshape(len(sets), -1)
+        good = 3 * n1 - strong.sum(1) < 2 * n1 - k
+        send = (strong | ~good[:, None]).ravel()
+        which = np.tile(np.arange(3 * n1), len(sets)).astype(np.uint64)[send]
+        both = (W.mixed(total[:, one] + W.MIX2) * W.MIX1 + total[:, two]).ravel()[send]
+        sig = W.mixed(both + W.mixed((which + np.uint64(band << 32)) * W.MIX2 + _EMPTY))
+        out.append(sig)
+        owners.append(np.repeat(sets, 3 * n1)[send])
     if not out:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     return np.concatenate(out), np.concatenate(owners)
 
 
 def _signed(bits: bytes, n_buckets: int):
-    """(doc_id, text) -> (bucket, signatures, doc_ids), a row for each block and bucket."""
+    """(text) -> (bucket, signatures, tags), a row for each block and bucket. A set's tag
+    is the first 64 bits of its node."""
 
     @W.trimming
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -165,28 +188,30 @@ def _signed(bits: bytes, n_buckets: int):
         def rows() -> Iterator[pa.RecordBatch]:
             # forty bits of a signature do: an accidental match is a candidate too many
             sig = np.concatenate([p[0] for p in parts]) >> np.uint64(24) << np.uint64(24)
-            ids = np.concatenate([p[1] for p in parts])
-            by = np.argsort(sig, kind="stable")
-            sig, ids = sig[by], ids[by]
-            out = [(b, pack_sorted(sig[i:j] >> np.uint64(24)), pack(ids[i:j])) for b, i, j in dealt(sig, n_buckets)]
+            tags = np.concatenate([p[1] for p in parts])
             parts.clear()
-            for i in range(0, len(out), 256):
-                columns = zip(*out[i : i + 256])
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, [pa.int32(), pa.binary(), pa.binary()])], names=["bucket", "signatures", "ids"])
+            by = np.argsort(sig, kind="stable")
+            sig, tags = sig[by], tags[by]
+            for b, i, j in dealt(sig, n_buckets):
+                own, place = np.unique(tags[i:j], return_inverse=True)  # each tag once in a row
+                columns = [[b], [pack_sorted(sig[i:j] >> np.uint64(24))], [own.tobytes()], [pack(place.astype(np.uint32))]]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, [pa.int32(), pa.binary(), pa.binary(), pa.binary()])], names=["bucket", "signatures", "tags", "places"])
 
         for batch in batches:
             for first, texts in W.steps(batch, "text"):
                 h, sizes = W.shingle_sets(texts, vocabulary, SHINGLE)
-                ids = np.array([NO_ID if x is None else x for x in batch.column("doc_id").slice(first, len(texts)).to_pylist()], np.int64)
+                tags = np.zeros(len(texts), np.int64)
                 ends, new = np.cumsum(sizes), np.zeros(len(texts), bool)
+                if len(seen) > SEEN:
+                    seen.clear()
                 for i, (e, n) in enumerate(zip(ends, sizes)):
                     if n and (node := node_of(h[e - n : e])) not in seen:
                         seen.add(node)
-                        new[i] = True
+                        new[i], tags[i] = True, int.from_bytes(node[:8], "big", signed=True)
                 h, sizes = h[np.repeat(new, sizes)], np.where(new, sizes, 0)
                 sig, owner = signatures(h, sizes, common)
                 if len(sig):
-                    parts.append((sig, ids[owner]))
+                    parts.append((sig, tags[owner]))
                 if sum(len(p[0]) for p in parts) >= BLOCK_SIGNATURES:
                     yield from rows()
         if parts:
@@ -196,101 +221,134 @@ def _signed(bits: bytes, n_buckets: int):
 
 
 def _shared(rows: pa.Table) -> pa.Table:
-    """One bucket -> (signature, doc_id) of signatures that two or more rows have."""
+    """One bucket -> (least, tag): the sets that share a signature, by its least one."""
     sig = np.concatenate([unpack_sorted(c.as_py()) for c in rows["signatures"]])
-    ids = np.concatenate([unpack(c.as_py(), np.int64) for c in rows["ids"]])
-    by = np.argsort(sig, kind="stable")
-    sig, ids = sig[by], ids[by]
-    same = sig[1:] == sig[:-1]
-    twice = np.zeros(len(sig), bool)
-    twice[1:] |= same
-    twice[:-1] |= same
-    return pa.table({"sig": pa.array(sig[twice].astype(np.int64)), "doc_id": pa.array(ids[twice])})
+    tags = np.concatenate([np.frombuffer(t.as_py(), np.int64)[unpack(c.as_py(), np.uint32)] for t, c in zip(rows["tags"], rows["places"])])
+    by = np.lexsort((tags, sig))
+    sig, tags = sig[by], tags[by]
+    starts = np.flatnonzero(np.append(True, sig[1:] != sig[:-1]))
+    sizes = np.diff(np.append(starts, len(sig)))
+    least = np.repeat(tags[starts], sizes)
+    several = np.repeat(tags[starts] != tags[starts + sizes - 1], sizes)
+    least, tags = least[several], tags[several]
+    by = np.lexsort((tags, least))
+    least, tags = least[by], tags[by]
+    first = np.append(True, (least[1:] != least[:-1]) | (tags[1:] != tags[:-1]))[: len(tags)]
+    return pa.table({"least": pa.array(least[first]), "tag": pa.array(tags[first])})
 
 
-def far(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray) -> np.ndarray:
-    """Which pairs cannot be linked, by size and by histogram."""
-    low, high = np.minimum(na, nb), np.maximum(na, nb)
-    out = 100 * low < PERCENT * high
-    most = (na + nb) * (100 - PERCENT) // (100 + PERCENT)
-    full = (a.max(-1) == 255) | (b.max(-1) == 255)  # a full bin bounds nothing
-    return out | (~full & (np.abs(a.astype(np.int16) - b).sum(-1) > most))
+def histogram(cell: bytes) -> np.ndarray:
+    """The counts, 0 to 3, of a set's bins."""
+    return (np.frombuffer(cell, np.uint8)[:, None] >> np.uint8([0, 2, 4, 6]) & np.uint8(3)).ravel()
 
 
-def _histograms(column) -> np.ndarray:
-    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, BINS)
+def distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """A lower bound on the symmetric difference: between each row of a and the vector b.
+    Bins are the low bits of a shingle, so a histogram folds onto one of fewer bins."""
+    bins = min(a.shape[1], len(b))
+    if a.shape[1] > bins:
+        a = a.reshape(len(a), -1, bins).sum(1, dtype=np.int16)
+    if len(b) > bins:
+        b = b.reshape(-1, bins).sum(0, dtype=np.int16)
+    return np.abs(a.astype(np.int16) - b).sum(1, dtype=np.int64)
+
+
+def most(na, nb):
+    """The largest symmetric difference of linked sets of these sizes."""
+    return (na + nb) * (100 - PERCENT) // (100 + PERCENT)
 
 
 def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(a, b, na, nb, ha, hb) -> (a, b) that may be linked."""
+    """(least, a, node, na, nb, ha, hb) -> (least, a, node, near): whether the two may be linked."""
     for batch in batches:
-        if batch.num_rows:
-            keep = ~far(_histograms(batch.column("ha")), _histograms(batch.column("hb")), batch.column("na").to_numpy(), batch.column("nb").to_numpy())
-            yield batch.select(["a", "b"]).filter(pa.array(keep))
-
-
-def _near_pairs(group: np.ndarray, comp: np.ndarray, side: np.ndarray, n: np.ndarray, hist: np.ndarray, nearest: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Indexes (left, right) of the pairs in each group that may be linked: of different
-    components and, in a group of two chunks, of different sides. Rows are sorted by
-    group and n. nearest: of each component only its pair of least distance."""
-    two = np.zeros(len(group), bool)
-    starts = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
-    sizes = np.diff(np.append(starts, len(group)))
-    both = np.minimum.reduceat(side, starts) != np.maximum.reduceat(side, starts)
-    two = np.repeat(both, sizes)
-    full = hist.max(1) == 255  # a full bin bounds nothing
-    left, right, apart = [], [], []
-    for step in range(1, int(sizes.max())):  # every pair of rows that are step apart
-        i = np.flatnonzero((group[step:] == group[:-step]) & (n[step:] * PERCENT <= n[:-step] * 100)) if len(group) > step else np.zeros(0, np.int64)
-        if not len(i):
-            break  # sizes ascend, so wider steps have none either
-        i = i[(comp[i] != comp[i + step]) & (~two[i] | (side[i] != side[i + step]))]
-        for part in np.array_split(i, max(1, len(i) // PAIRS)):
-            j = part + step
-            d = np.abs(hist[part].astype(np.int16) - hist[j]).sum(1)
-            near = (d <= (n[part] + n[j]) * (100 - PERCENT) // (100 + PERCENT)) | full[part] | full[j]
-            left.append(part[near])
-            right.append(j[near])
-            apart.append(d[near])
-    if not left:
+        na, nb = batch.column("na").to_numpy(), batch.column("nb").to_numpy()
+        keep = 100 * np.minimum(na, nb) >= PERCENT * np.maximum(na, nb)
+        last = None
+        for i in np.flatnonzero(keep):
+            x = batch.column("ha")[i].as_buffer()
+            if last is None or x != last[0]:
+                last = x, histogram(x)
+            keep[i] = distance(last[1][None, :], histogram(batch.column("hb")[i].as_buffer()))[0] <= most(na[i], nb[i])
+        yield pa.RecordBatch.from_arrays([*batch.select(["least", "a", "node"]).columns, pa.array(keep)], names=["least", "a", "node", "near"])
+
+
+def _near_pairs(n: np.ndarray, hist: list[np.ndarray], comp: np.ndarray, rank: np.ndarray, rest: np.ndarray, side: np.ndarray, nearest: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Indexes of the pairs (of side 0, of side 1) of different components that may be
+    linked; of two sets of the rest, that of ascending rank. nearest: for each component
+    only its pair of least distance."""
+    left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+    right = right[np.argsort(n[right], kind="stable")]
+    rn = n[right]
+    bins = np.array([len(hist[j]) for j in right])
+    classes = [(hist_of, a, b) for a, b in _runs(bins) for hist_of in [np.stack([hist[j] for j in right[a:b]])]]
+    out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    for i in left:
+        low, high = np.searchsorted(rn, -(-n[i] * PERCENT // 100)), np.searchsorted(rn, n[i] * 100 // PERCENT, side="right")
+        for table, a, b in classes:
+            lo, hi = max(low, a), min(high, b)
+            step = max(1, CELLS // table.shape[1])
+            for s in range(lo, hi, step):
+                j = np.arange(s, min(hi, s + step))
+                own = right[j]
+                j = j[(comp[own] != comp[i]) & (~rest[own] | (rank[own] > rank[i]))]
+                if not len(j):
+                    continue
+                d = distance(table[j - a], hist[i])
+                near = d <= most(n[i], rn[j])
+                out.append((np.full(near.sum(), i), right[j[near]], d[near]))
+    if not out:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    left, right, apart = np.concatenate(left), np.concatenate(right), np.concatenate(apart)
-    if nearest and len(left):
-        ends, pair = np.concatenate([comp[left], comp[right]]), np.tile(np.arange(len(left)), 2)
-        order = np.lexsort((pair, np.tile(apart, 2), ends, np.tile(group[left], 2)))
-        e, g = ends[order], np.tile(group[left], 2)[order]
-        pick = np.unique(pair[order[np.append(True, (e[1:] != e[:-1]) | (g[1:] != g[:-1]))]])
-        left, right = left[pick], right[pick]
-    return left, right
+    x, y, d = (np.concatenate(c) for c in zip(*out))
+    if nearest and len(x):
+        ends, pair = np.concatenate([comp[x], comp[y]]), np.tile(np.arange(len(x)), 2)
+        order = np.lexsort((pair, np.tile(d, 2), ends))
+        e = ends[order]
+        pick = np.unique(pair[order[np.append(True, e[1:] != e[:-1])]])
+        x, y = x[pick], y[pick]
+    return x, y
+
+
+def _runs(a: np.ndarray) -> list[tuple[int, int]]:
+    """(from, to) of the runs of equal values."""
+    cuts = [0, *(np.flatnonzero(a[1:] != a[:-1]) + 1).tolist(), len(a)] if len(a) else [0]
+    return list(zip(cuts, cuts[1:]))
 
 
 @W.trimming
 def _cross(nearest: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (lo, hi, sig, n), all of a group in one task -> candidates (a, b)."""
+    """Rows sorted by (least, i, j), all of a group in one task -> candidates (a, b)."""
     kept: list[pa.RecordBatch] = []
-
-    def done(rows: pa.Table, last: bool):
-        keys = [rows.column(c).to_numpy() for c in ("sig", "lo", "hi")]
-        change = np.append(False, np.any([k[1:] != k[:-1] for k in keys], axis=0))
-        group = np.cumsum(change)
-        upto = rows.num_rows if last else int(np.searchsorted(group, group[-1]))
-        own = rows.slice(0, upto)
-        if upto:
-            node, comp, side, n = (own.column(c).to_numpy() for c in ("node", "component", "side", "n"))
-            i, j = _near_pairs(group[:upto], comp, side, n, _histograms(own.column("histogram")), nearest)
-            pairs = np.unique(np.stack([np.minimum(node[i], node[j]), np.maximum(node[i], node[j])]), axis=1)
-        else:
-            pairs = np.zeros((2, 0), np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(p) for p in pairs], names=["a", "b"]), rows.slice(upto).to_batches()
+    sent: set[tuple[bytes, bytes]] = set()
+
+    def group(rows: pa.Table) -> pa.RecordBatch:
+        node = rows["node"].to_pylist()
+        names = rows["component"].to_pylist()
+        code = {c: x for x, c in enumerate(dict.fromkeys(names))}
+        rank = np.argsort(np.argsort(np.array(node, object), kind="stable"))
+        hist = [histogram(h) for h in rows["histogram"].to_pylist()]
+        x, y = _near_pairs(rows["n"].to_numpy(), hist, np.array([code[c] for c in names]), rank, rows["rest"].to_numpy(), rows["side"].to_numpy(), nearest)
+        pairs = {(min(node[i], node[j]), max(node[i], node[j])) for i, j in zip(x.tolist(), y.tolist())} - sent
+        if len(sent) > SEEN:
+            sent.clear()
+        sent.update(pairs)
+        a, b = zip(*sorted(pairs)) if pairs else ((), ())
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
+
+    def done(rows: pa.Table, last: bool) -> tuple[list[pa.RecordBatch], list[pa.RecordBatch]]:
+        keys = [rows[c].to_numpy() for c in ("least", "i", "j")]
+        number = np.cumsum(np.append(False, np.any([k[1:] != k[:-1] for k in keys], axis=0)))
+        runs = _runs(number)
+        whole = runs if last else runs[:-1]
+        out = [group(rows.slice(s, e - s)) for s, e in whole]
+        return [x for x in out if x.num_rows], rows.slice(whole[-1][1] if whole else 0).to_batches()
 
     for batch in batches:
         if batch.num_rows:
             kept.append(batch)
             out, kept = done(pa.Table.from_batches(kept).combine_chunks(), False)
-            yield out
+            yield from out
     if kept and sum(b.num_rows for b in kept):
-        yield done(pa.Table.from_batches(kept).combine_chunks(), True)[0]
+        yield from done(pa.Table.from_batches(kept).combine_chunks(), True)[0]
 
 
 @W.trimming
@@ -302,7 +360,7 @@ def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     vocabulary = W.Words()
 
     @lru_cache(maxsize=64)
-    def shingles(text: bytes) -> tuple[np.ndarray, int]:
+    def shingles(text: bytes) -> tuple[np.ndarray, bytes]:
         h = W.shingle_sets([text], vocabulary, SHINGLE)[0]
         return h, node_of(h)
 
@@ -320,26 +378,34 @@ def _bounded(df: DataFrame, row_bytes: int) -> DataFrame:
     return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df
 
 
+def _rows(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """(rid, doc_id, text): rid tells rows of different ids or texts apart."""
+    return docs.select(_rid(doc_id, text).alias("rid"), F.col(f"`{doc_id}`").cast("long").alias("doc_id"), W.as_bytes(F.col(f"`{text}`")).alias("text"))
+
+
+def _rid(doc_id: str, text: str) -> Column:
+    return F.xxhash64(F.col(f"`{doc_id}`").cast("long"), F.col(f"`{text}`"))
+
+
 def _verified(pairs: DataFrame, profile: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs that are linked. profile: node, doc_id; texts: doc_id, text.
+    """The pairs that are linked. profile: node, rid; texts: rid, text.
 
     Only texts of the pairs' nodes leave their scan; each pair's two meet in one shuffle
     on the pair.
     """
     ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    ids = _bounded(written(profile.select("node", "doc_id").join(ends, "node"), "ends"), 32)
-    own = texts.join(ids, "doc_id").select("node", "text")
-    sent = _bounded(pairs, 32)
+    ids = _bounded(written(profile.select("node", "rid").join(ends, "node"), "ends"), 48)
+    own = texts.join(ids, "rid").select("node", "text")
+    sent = _bounded(pairs, 64)
     left = own.select(F.col("node").alias("a"), F.col("text").alias("ta")).join(sent, "a")
     right = own.select(F.col("node").alias("b"), F.col("text").alias("tb")).join(sent, "b")
-    return left.join(right, ["a", "b"]).select("a", "b", "ta", "tb").mapInArrow(_linked, "a long, b long").distinct()
+    return left.join(right, ["a", "b"]).select("a", "b", "ta", "tb").mapInArrow(_linked, "a binary, b binary").distinct()
 
 
 def profiles(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, bytes]:
-    """(doc_id, n, node, histogram) of every document, and the common counters."""
-    narrow = docs.select(F.col(doc_id).cast("long").alias("doc_id"), W.as_bytes(text).alias("text"))
-    rows = written(narrow.mapInArrow(_profiles, "kind int, doc_id long, n long, node long, histogram binary, chunk int, cells binary"), "profiles")
-    of = rows.where("kind = 0").select("doc_id", "n", "node", "histogram")
+    """(rid, doc_id, n, node, histogram) of every document, and the common counters."""
+    rows = written(_rows(docs, doc_id, text).mapInArrow(_profiles, "kind int, rid long, doc_id long, n long, node binary, histogram binary, chunk int, cells binary"), "profiles")
+    of = rows.where("kind = 0").select("rid", "doc_id", "n", "node", "histogram")
     bits = rows.where("kind = 1").select("chunk", "cells").groupBy("chunk").applyInArrow(_common, "chunk int, bits binary")
     return of, b"".join(r["bits"] for r in bits.orderBy("chunk").collect())  # 2**CELL_BITS bits
 
@@ -347,71 +413,57 @@ def profiles(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tup
 def links(docs: DataFrame, of: DataFrame, bits: bytes, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Verified links (a, b) between nodes; they connect whatever all links connect, and
     link_counts() has the number of all."""
-    narrow = docs.select(F.col(doc_id).cast("long").alias("doc_id"), W.as_bytes(text).alias("text"))
+    narrow = _rows(docs, doc_id, text)
     spark = docs.sparkSession
     total = of.agg(F.sum("n")).first()[0] or 0
-    n_buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(total * 0.6 / ENTRIES))
-    shared = narrow.mapInArrow(_signed(bits, n_buckets), "bucket int, signatures binary, ids binary").groupBy("bucket").applyInArrow(_shared, "sig long, doc_id long")
-    nodes = of.where("n > 0").select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), "node")
-    members = written(shared.join(nodes, "doc_id").select("sig", "node").distinct(), "members")
-    levels, rest = [], members
-    for _ in range(STARS):  # the least member's pairs are compared; without it, again
-        rows = written(_grouped(rest), "shared")
-        levels.append(rows)
-        rest = rows.where("node <> a").select("sig", "node")
-    rows = levels[0]
-    of_node = of.where("n > 0").groupBy("node").agg(F.min(F.coalesce("doc_id", F.lit(NO_ID))).alias("doc_id"), F.first("n").alias("n"), F.first("histogram").alias("h"))
-    profile = written(of_node.join(rows.select("node").distinct(), "node", "left_semi"), "profile")
-
-    def near(pairs: DataFrame) -> DataFrame:
-        left, right = (profile.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("h").alias(f"h{x}")) for x in "ab")
-        return pairs.join(left, "a").join(right, "b").select("a", "b", "na", "nb", "ha", "hb").mapInArrow(_near, "a long, b long")
-
-    texts = narrow.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), "text")
-    stars = reduce(DataFrame.unionByName, (x.where("node <> a").select("a", F.col("node").alias("b")) for x in levels)).distinct()
-    tested = written(near(stars), "candidates")
-    found = written(_verified(tested, profile, texts), "links")
-    rows, label, new = written(_grouped(rest), "shared").select("sig", "node"), connected_components(found), found
+    n_buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(total * 0.8 / ENTRIES))
+    packed = narrow.select("text").mapInArrow(_signed(bits, n_buckets), "bucket int, signatures binary, tags binary, places binary")
+    shared = written(packed.groupBy("bucket").applyInArrow(_shared, "least long, tag long").distinct(), "shared")
+    tag = F.conv(F.hex(F.substring("node", 1, 8)), 16, -10).cast("long")
+    classes = of.where("n > 0").groupBy("node").agg(F.min("rid").alias("rid"), F.first("n").alias("n"), F.first("histogram").alias("h")).withColumn("tag", tag)
+    profile = written(classes.join(shared.select("tag").distinct(), "tag", "left_semi"), "profile")
+    own = shared.join(profile.select("tag", "node", F.col("n").alias("nb"), F.col("h").alias("hb")), "tag").drop("tag")
+    heads = profile.select(F.col("tag").alias("least"), F.col("node").alias("a"), F.col("n").alias("na"), F.col("h").alias("ha"))
+    members = own.join(heads, "least").select("least", "a", "node", "na", "nb", "ha", "hb")
+    members = written(members.mapInArrow(_near, "least long, a binary, node binary, near boolean"), "members")
+    close = members.where("near and node <> a").select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b"))
+    tested = close
+    found = written(_verified(tested, profile, narrow), "links")
+    label, new = connected_components(found), found
+    # a block of two has no pair but that of its least member
+    large = members.groupBy("least").agg(F.count(F.lit(1)).alias("members")).where("members > 2").select("least")
+    blocks = written(members.join(large, "least").select("least", "node").distinct(), "blocks")
     for turn in range(NEAREST_ROUNDS + 1):
         every = turn == NEAREST_ROUNDS
-        if not every and turn and not new.head(1):
-            continue  # components are as they were: look at every pair
-        apart = rows.join(label, "node", "left").select("sig", "node", F.coalesce("component", "node").alias("component"))
-        mixed = apart.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.min("node").alias("least"), F.count(F.lit(1)).alias("members")).where("lo <> hi")
-        mixed = mixed.select("sig", "least", F.ceil(F.col("members") / CHUNK).cast("int").alias("chunks"))
-        apart = written(apart.join(mixed, "sig"), "apart")
-        rows = apart.select("sig", "node")
-        pairs = written(_crossed(apart, profile, not every).join(tested, ["a", "b"], "left_anti"), "candidates")
-        new = written(_verified(pairs, profile, texts), "links")
+        pairs = written(_crossed(blocks, label, profile, not every).join(tested, ["a", "b"], "left_anti"), "candidates")
+        new = written(_verified(pairs, profile, narrow), "links")
         tested, found = tested.unionByName(pairs), found.unionByName(new)
         if not every and new.head(1):
             label = connected_components(label.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(new))
     return found
 
 
-def _grouped(members: DataFrame) -> DataFrame:
-    """(sig, node, a): members of the signatures that two sets or more share, and the
-    least of each. Copies of a text share most of their signatures: one of those with the
-    same members (told by 128 bits of their hashes) stands for all."""
-    prints = [F.bit_xor(F.xxhash64("node", F.lit(i))).alias(f"print{i}") for i in range(2)]
-    groups = members.groupBy("sig").agg(F.min("node").alias("a"), F.count(F.lit(1)).alias("members"), *prints).where("members > 1")
-    groups = groups.groupBy("a", "members", "print0", "print1").agg(F.min("sig").alias("sig")).select("sig", "a")
-    return members.join(groups, "sig")
-
-
-def _crossed(apart: DataFrame, profile: DataFrame, nearest: bool) -> DataFrame:
-    """Candidate pairs (a, b) of (sig, node, component, least, chunks).
-
-    Long texts that are nearly linked share a hundred signatures and more; signatures of
-    one least member go to one task, so that a pair is told once there and not by each.
-    A set has a bounded number of signatures, and chunks bound the members of each."""
-    full = apart.join(profile.select("node", "n", F.col("h").alias("histogram")), "node")
-    full = full.withColumn("mine", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
-    full = full.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    full = full.select("sig", F.least("mine", "other").alias("lo"), F.greatest("mine", "other").alias("hi"), "least", "node", "component", F.col("mine").alias("side"), "n", "histogram")
-    parts = int(apart.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt_out = full.repartition(parts, "least", "lo", "hi").sortWithinPartitions("least", "lo", "hi", "sig", "n").drop("least")
-    return dealt_out.mapInArrow(partial(_cross, nearest), "a long, b long").distinct()
+def _crossed(blocks: DataFrame, label: DataFrame, profile: DataFrame, nearest: bool) -> DataFrame:
+    """Candidate pairs (a, b) of the blocks (least, node).
+
+    Of a block with more than one component, sets outside its largest one meet all its
+    sets. Both sides are dealt to chunks of CHUNK sets, so a block's rows are as many as
+    its sets while those outside the largest component fit in a chunk."""
+    apart = blocks.join(label, "node", "left").select("least", "node", F.coalesce("component", "node").alias("component"))
+    counts = apart.groupBy("least", "component").agg(F.count(F.lit(1)).alias("n"))
+    mixed = counts.groupBy("least").agg(F.sum("n").alias("members"), F.max(F.struct("n", "component")).alias("top"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
+    chunks = lambda n: F.ceil(n / CHUNK).cast("int")
+    mixed = mixed.select("least", F.col("top.component").alias("top"), chunks(F.col("members") - F.col("top.n")).alias("rows"), chunks(F.col("members")).alias("columns"))
+    apart = apart.join(mixed, "least").withColumn("rest", F.col("component") != F.col("top"))
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    own = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
+    columns = ("least", "i", "j", "side", "node", "component", "rest")
+    first = apart.where("rest").withColumn("side", F.lit(0)).withColumn("i", own("rows")).withColumn("j", every("columns")).select(*columns)
+    second = apart.withColumn("side", F.lit(1)).withColumn("j", own("columns")).withColumn("i", every("rows")).select(*columns)
+    full = written(first.unionByName(second), "sides").join(profile.select("node", "n", F.col("h").alias("histogram")), "node")
+    parts = int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt_out = full.select(*columns, "n", "histogram").repartition(parts, "least", "i", "j").sortWithinPartitions("least", "i", "j")
+    return dealt_out.mapInArrow(partial(_cross, nearest), "a binary, b binary").distinct()
 
 
 def _counted(rows: pa.Table) -> pa.Table:
@@ -440,21 +492,21 @@ def _counted(rows: pa.Table) -> pa.Table:
             linked = 100 * common >= PERCENT * (n + n[i] - common)
             linked[i] = False
             total[i] = size[linked & (side != side[i]) if both else linked].sum()
-    return pa.table({"node": pa.array(list(sets), pa.int64()), "linked": pa.array(total, pa.int64())})
+    return pa.table({"node": pa.array(list(sets), pa.binary()), "linked": pa.array(total, pa.int64())})
 
 
 def link_counts(docs: DataFrame, of: DataFrame, label: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(node, linked): the documents, other than its own copies, that a node is linked with;
     nodes without a component are left out."""
-    texts = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)).alias("doc_id"), W.as_bytes(text).alias("text"))
-    classes = of.where("n > 0").groupBy("node").agg(F.min(F.coalesce("doc_id", F.lit(NO_ID))).alias("doc_id"), F.count(F.lit(1)).alias("size"))
+    texts = _rows(docs, doc_id, text).select("rid", "text")
+    classes = of.where("n > 0").groupBy("node").agg(F.min("rid").alias("rid"), F.count(F.lit(1)).alias("size"))
     chunks = label.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("chunks"))
     nodes = written(label.join(chunks, "component").join(classes, "node"), "counted")
-    full = nodes.join(texts, "doc_id").withColumn("mine", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
+    full = nodes.join(texts, "rid").withColumn("mine", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
     full = full.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     lo, hi = F.least("mine", "other").alias("lo"), F.greatest("mine", "other").alias("hi")
     full = full.select("component", lo, hi, "node", "size", F.when(F.col("mine") == F.col("other"), 0).otherwise(F.when(F.col("mine") < F.col("other"), 0).otherwise(1)).alias("side"), "text")
-    counted = full.groupBy("component", "lo", "hi").applyInArrow(_counted, "node long, linked long")
+    counted = full.groupBy("component", "lo", "hi").applyInArrow(_counted, "node binary, linked long")
     return counted.groupBy("node").agg(F.sum("linked").alias("linked"))
 
 
@@ -467,12 +519,12 @@ def _labelled(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, DataF
     least = grouped.groupBy("component").agg(F.min("class_id").alias("component_id"))
     known = grouped.join(least, "component").select("node", "class_id", "component_id")
     out = of.join(known, "node", "left")
-    return out.select("node", "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("class_id", "doc_id").alias("class_id")), of, label
+    return out.select("node", "rid", "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("class_id", "doc_id").alias("class_id")), of, label
 
 
 def components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row for each document: doc_id, n_shingles, component_id, class_id (of equal sets)."""
-    return _labelled(docs, doc_id, text)[0].drop("node")
+    return _labelled(docs, doc_id, text)[0].drop("node", "rid")
 
 
 def counted_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -486,11 +538,12 @@ def counted_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
 
 
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """docs without the documents whose component has a smaller id; repeated rows of an
-    id that stays, and documents without id or words, stay as they are."""
-    found = components(docs, doc_id, text)
-    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias(doc_id)).distinct()
-    return docs.join(gone, doc_id, "left_anti").select(docs.columns)
+    """docs without the documents whose component has a smaller id; repeated rows of the
+    id and text that stay, and documents without id or words, stay as they are. Rows are
+    told by id and text, so another text of a dropped row's id stays."""
+    found = _labelled(docs, doc_id, text)[0]
+    gone = found.where("doc_id <> component_id").select(F.col("rid").alias("__rid")).distinct()
+    return docs.join(gone, _rid(doc_id, text) == F.col("__rid"), "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def op5_partenum(spark, sf_dir):
