@@ -10,8 +10,14 @@ windows only and the sequences shrink fast.
 A run counts when it has at least MIN_WORDS words. From each position the shortest such
 window forwards, and backwards, is named by two overlapping windows of the largest power
 of two (equal names: one interval of the suffix array at that depth). A window that is
-not the first of its class is a later copy, and its lines are deleted; together these
-windows cover exactly the maximal runs of at least MIN_WORDS words that occur earlier.
+not the first of its class is a later copy, and its lines are deleted, other than those
+of the first itself where the two overlap; together these windows cover exactly the
+maximal runs of at least MIN_WORDS words that occur earlier.
+
+The array of sorted suffixes itself is never laid out: an interval of it at a depth of w
+lines is the class of equal windows of w lines, which is all that deletion asks of it.
+As a line has a word at least, depths beyond MIN_WORDS lines are not needed, and levels
+end there.
 
 Everything is DataFrame operations. Groupings use partial aggregation (count and least
 position), and joins on a hot line or window are split by AQE. Windows partition by
@@ -19,7 +25,9 @@ document only.
 
 Order of positions: doc_id (null first), the text's hash, line. Defined results: a null
 text stays null, an empty one empty; rows of one id and text are one document and get
-the same result; an empty table gives no rows; all columns and their order are kept.
+the same result; very long texts are handled whole, and many equal lines cost their
+number; an empty table gives no rows; all columns and their order are kept, whatever
+their names.
 """
 
 from __future__ import annotations
@@ -91,7 +99,8 @@ def windows(lines: DataFrame, repeated: DataFrame, min_words: int) -> DataFrame:
         F.struct((F.col("upto") - F.col("words") + min_words).alias("sum"), F.lit(0).alias("kind"), F.lit(None).cast("long").alias("line"), F.col("seq").alias("start")),
     )
     rows = own.select("d", "tie", "segment", F.inline(wanted))
-    ahead = part.orderBy("sum", "kind", "line", "start").rowsBetween(0, Window.unboundedFollowing)
+    # from the end, so that the frame only grows: one that shrinks is made anew for each row
+    ahead = part.orderBy(*(F.desc(c) for c in ("sum", "kind", "line", "start"))).rowsBetween(Window.unboundedPreceding, 0)
     forward = rows.withColumn("end", F.min("line").over(ahead)).where("kind = 0 and end is not null").select("d", "tie", F.col("start").alias("seq"), (F.col("end") - F.col("start") + 1).alias("n"))
     # backwards: the last line from which the sum still reaches
     wanted = F.array(
@@ -105,7 +114,8 @@ def windows(lines: DataFrame, repeated: DataFrame, min_words: int) -> DataFrame:
 
 
 def later_copies(lines: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """(d, tie, seq, n): windows of min_words words or more that occur earlier."""
+    """(d, tie, seq, n): the lines, of windows of min_words words or more that occur
+    earlier, that are not lines of that first occurrence."""
     levels = doubled(lines, max(1, min_words).bit_length())  # a line has a word at least
     wanted = windows(lines, levels[0], min_words)
     level = F.floor(F.log2(F.col("n").cast("double")) + 1e-9).cast("int")
@@ -123,7 +133,10 @@ def later_copies(lines: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     both = name(name(wanted, "seq", "one"), "second", "two").select("d", "tie", "seq", "n", "one", "two")
     at = F.struct("d", "tie", "seq")
     first = both.groupBy("one", "two", "n").agg(F.min(at).alias("first"), F.max(at).alias("last")).where("first <> last").drop("last")
-    return both.join(first, ["one", "two", "n"]).where(at != F.col("first")).select("d", "tie", "seq", "n")
+    later = both.join(first, ["one", "two", "n"]).where(at != F.col("first"))
+    own = F.col("first.d").eqNullSafe(F.col("d")) & (F.col("first.tie") == F.col("tie"))
+    start = F.when(own, F.greatest("seq", F.col("first.seq") + F.col("n"))).otherwise(F.col("seq"))
+    return later.select("d", "tie", start.alias("seq"), (F.col("seq") + F.col("n") - start).alias("n"))
 
 
 def deletions(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
