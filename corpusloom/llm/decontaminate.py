@@ -13,14 +13,17 @@ Documents are read once and never shuffled. The items' pieces are sent to the ta
 blocks of at most BLOCK_CHARS characters of items; more items mean more blocks, each of
 them one more pass, so no broadcast grows with the benchmark.
 
-Defined results: null or empty texts and items have no matches; items shorter than
-LEAST_CHARS characters are matched exactly and as whole words; repeated items and
-documents are each returned; empty tables give an empty result.
+Defined results: null or empty texts and items have no matches; an item so short that it
+may have no edit is matched exactly, where it neither begins nor ends inside a word;
+repeated items and documents are each returned; very long texts are searched whole;
+columns of other names are kept by clean_documents and not read otherwise; empty tables
+give an empty result.
 """
 
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterator
 
 import ahocorasick
@@ -29,10 +32,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corpusloom.llm import words as W
 from corpusloom.session import table
 
 ERROR_RATE = 0.1
-LEAST_CHARS = 40
+#: Matchers that a worker process keeps.
+MATCHERS = 2
 BLOCK_CHARS = 4_000_000
 _SPACE = re.compile(r"[\x20\x09-\x0D]+")
 
@@ -42,7 +47,7 @@ def folded(text: str | None) -> str:
 
 
 def budget(item: str, error_rate: float) -> int:
-    return int(len(item) * error_rate) if len(item) >= LEAST_CHARS else 0
+    return int(len(item) * error_rate)
 
 
 def pieces(item: str, k: int) -> list[tuple[int, str]]:
@@ -108,6 +113,12 @@ def ladder(item: str, parts: list[tuple[int, str]]) -> list[list[tuple[int, int,
     return out
 
 
+def _inside_word(text: str, start: int, end: int) -> bool:
+    """Whether text[start:end] begins or ends in the middle of a word."""
+    word = lambda i: 0 <= i < len(text) and (text[i].isalnum() or text[i] == "_")
+    return (word(start - 1) and word(start)) or (word(end - 1) and word(end))
+
+
 class Matcher:
     """Finds all items of a block in texts."""
 
@@ -136,7 +147,7 @@ class Matcher:
                     continue
                 start = end + 1 - length - offset  # of the item, if nothing shifts it
                 if not k:
-                    if len(t) >= LEAST_CHARS or f" {t} " in f" {text} ":
+                    if not _inside_word(text, start, start + len(t)):
                         best[n] = 0
                 elif start >= 0 and text.startswith(t, start):
                     best[n] = 0
@@ -151,9 +162,23 @@ class Matcher:
         return [(self.items[n][0], d) for n, d in best.items()]
 
 
-def _matches(items, error_rate):
+_MATCHERS: dict[tuple[str, float], Matcher] = {}
+
+
+def _matcher(name: str, items, error_rate: float) -> Matcher:
+    """The block's matcher, of which a worker process keeps a few for all its tasks."""
+    key = name, error_rate
+    if key not in _MATCHERS:
+        while len(_MATCHERS) >= MATCHERS:
+            del _MATCHERS[next(iter(_MATCHERS))]
+        _MATCHERS[key] = Matcher([(i, t) for i, (_, t) in enumerate(items.value)], error_rate)
+    return _MATCHERS[key]
+
+
+def _matches(name, items, error_rate):
+    @W.trimming
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matcher = Matcher([(i, t) for i, (_, t) in enumerate(items.value)], error_rate)
+        matcher = _matcher(name, items, error_rate)
         for batch in batches:
             at, found, distance = [], [], []
             for row, text in enumerate(batch.column("__text")):
@@ -189,7 +214,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, keys: tuple[str, ...] = ("doc_i
     out = None
     for block in _blocks(benchmark, item_id, item_text):
         sent = docs.sparkSession.sparkContext.broadcast(block)
-        part = narrow.mapInArrow(_matches(sent, error_rate), schema)
+        part = narrow.mapInArrow(_matches(uuid.uuid4().hex, sent, error_rate), schema)
         out = part if out is None else out.unionByName(part)
     return docs.sparkSession.createDataFrame([], schema) if out is None else out
 
@@ -199,13 +224,14 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame, text: str = "text", e
     out = docs
     for block in _blocks(benchmark, "item_id", "text"):
         sent = docs.sparkSession.sparkContext.broadcast(block)
-        out = out.mapInArrow(_kept(sent, text, error_rate), docs.schema)
+        out = out.mapInArrow(_kept(uuid.uuid4().hex, sent, text, error_rate), docs.schema)
     return out
 
 
-def _kept(items, text, error_rate):
+def _kept(name, items, text, error_rate):
+    @W.trimming
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matcher = Matcher(list(items.value), error_rate)
+        matcher = _matcher(name, items, error_rate)
         for batch in batches:
             yield batch.filter(pa.array([not matcher.find(folded(t.as_py())) for t in batch.column(text)], pa.bool_()))
 
