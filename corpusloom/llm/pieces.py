@@ -11,7 +11,8 @@ ids are those of the library.
 No piece has a space mark after another character, so the words of a text (with the
 spaces before them) are independent. What does not depend on the key is kept: for a word
 and the candidates skipped so far, the candidates drawn next if none of them is skipped,
-and the pieces that come out then (a node, kept from its second use on). An occurrence draws its own hash for each
+and the pieces that come out then (a node, kept from its second use on). Words of more
+than LONG characters are never kept; a heap holds the agenda of each. An occurrence draws its own hash for each
 candidate, and the first one that is skipped leads to the next node. New nodes of a batch
 are worked out together, one merge of each per step, and so are occurrences without one.
 
@@ -20,11 +21,13 @@ makes decoding lossless for every text: it concatenates the pieces' bytes and dr
 one space put in front.
 
 Defined results: a null or empty text has no pieces; a null id has variant 0; repeated
-rows get equal results; an empty table gives no rows.
+rows get equal results; very long texts and words are encoded whole; other columns than
+the keys are not read; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
+import heapq
 import re
 import zlib
 from collections.abc import Iterator
@@ -48,6 +51,8 @@ DRAWS = 1 << 15
 #: A word with more candidates than this skips some at almost every occurrence, and its
 #: occurrences are segmented one by one, by the same hashes, as no node would be met again.
 MANY = 64
+#: Words of more characters than this are segmented by a heap, one by one.
+LONG = 256
 _WORD = re.compile(r"\n| *[^ \n]+| +")
 
 
@@ -84,6 +89,7 @@ class Model:
         by = np.argsort(keys)
         self.keys, self.merged = np.array(keys, np.int64)[by], np.array(merged, np.int32)[by]
         self.rank = rank
+        self.pairs: dict[int, int] = {}
 
     def unions(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """The piece of each pair's union, or -1. Negative ids have none."""
@@ -195,6 +201,71 @@ def segment(m: Model, words: list[str], skipped: list[tuple[int, ...]] | None =
     return out, np.bincount(owner, width, minlength=len(words)).astype(np.int64), spans, draws
 
 
+def _mixed(h: int) -> int:
+    """words.mixed of one number."""
+    h ^= h >> 29
+    h = h * int(W.MIX2) % 2**64
+    h ^= h >> 32
+    h = h * int(W.MIX1) % 2**64
+    return h ^ h >> 31
+
+
+def segment_long(m: Model, word: str, seed: int, limit: int) -> list[int]:
+    """The ids that segment gives one word; the agenda is a heap, so that a run of n
+    characters takes n log n steps."""
+    if not m.pairs:
+        m.pairs = dict(zip(m.keys.tolist(), m.merged.tolist()))
+    ids = [m.chars.get(c, -1) for c in word]
+    n, size, pairs, rank, mix = len(ids), m.size, m.pairs, m.rank.tolist(), int(W.MIX1)
+    end, right, left = list(range(1, n + 1)), list(range(1, n + 1)), list(range(-1, n - 1))
+    agenda: list[tuple[int, int, int, int, int]] = []
+
+    def candidate(i: int, j: int) -> None:
+        if ids[i] < 0 or ids[j] < 0 or (union := pairs.get(ids[i] * size + ids[j])) is None:
+            return
+        span = (i << 42) + (j << 21) + end[j]
+        if not limit or _mixed((seed + span * mix) % 2**64) >= limit:
+            heapq.heappush(agenda, (rank[union], i, j, end[j], union))
+
+    for i in range(n - 1):
+        candidate(i, i + 1)
+    while agenda:
+        _, i, j, last, union = heapq.heappop(agenda)
+        if right[i] != j or end[j] != last or end[i] != j:
+            continue  # one of the two has been merged since
+        ids[i], end[i], right[i] = union, last, right[j]
+        end[j], right[j] = -1, -1
+        if right[i] < n:
+            left[right[i]] = i
+            candidate(i, right[i])
+        if left[i] >= 0:
+            candidate(left[i], i)
+    out, i = [], 0
+    while i < n:
+        if ids[i] >= 0:
+            out.append(ids[i])
+        else:
+            out += m.byte_id[np.frombuffer(word[i].encode(), np.uint8)].tolist()
+        i = right[i]
+    return out
+
+
+def segment_each(m: Model, words: list[str], seeds: np.ndarray, limit: np.uint64) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all words by their own hashes, and how many each has."""
+    size = np.fromiter(map(len, words), np.int64, len(words))
+    long = np.flatnonzero(size > LONG)
+    if not len(long):
+        return segment(m, words, None, seeds, limit)[:2]
+    short = np.flatnonzero(size <= LONG)
+    flat, n, _, _ = segment(m, [words[i] for i in short], None, seeds[short], limit)
+    found: list[np.ndarray] = [np.zeros(0, np.int32)] * len(words)
+    for i, own in zip(short.tolist(), np.split(flat, np.cumsum(n)[:-1]) if len(short) else []):
+        found[i] = own
+    for i in long.tolist():
+        found[i] = np.array(segment_long(m, words[i], int(seeds[i]), int(limit)), np.int32)
+    return np.concatenate(found), np.fromiter(map(len, found), np.int64, len(found))
+
+
 class Grown:
     """An array that grows at its end."""
 
@@ -223,6 +294,9 @@ class Known(dict):
         self.count = 0
 
     def __missing__(self, word: str) -> int:
+        if len(word) > LONG:  # never kept
+            self.single.append(word)
+            return -1
         if word not in self.once:
             if len(self.once) >= self.most:
                 self.once.clear()
@@ -334,7 +408,7 @@ class Encoder:
         flats, lengths = [self.flat.room[: self.flat.n]], [self.size.room[: self.size.n]]
         for i in range(0, len(alone), DRAWS):
             part = alone[i : i + DRAWS]
-            flat, n, _, _ = segment(self.m, words[part].tolist(), None, seeds[part], self.limit)
+            flat, n = segment_each(self.m, words[part].tolist(), seeds[part], self.limit)
             flats.append(flat)
             lengths.append(n)
         node[alone] = self.known.count + np.arange(len(alone))
