@@ -23,7 +23,6 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -108,7 +107,7 @@ def _pass(text: str, carried: bool):
                 if carried:
                     n, repeats = found[0].to_numpy(), found[4].to_numpy()
                     failed = (n < LEAST_WORDS) | (100 * repeats > REPEAT_PERCENT * n)
-                    columns[text] = pc.if_else(pa.array(failed), pa.scalar(None, columns[text].type), columns[text])
+                    columns[text] = pa.array([None if f else b for f, b in zip(failed, texts)], pa.binary()).cast(columns[text].type)
                 else:
                     del columns[text]
                 columns[QUALITY] = pa.StructArray.from_arrays(found, names=list(MEASURES))
