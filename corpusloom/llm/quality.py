@@ -117,6 +117,8 @@ def _pass(text: str, carried: bool):
 
 
 QUALITY = "__quality"
+#: Rejected hosts of more bytes than this are not broadcast.
+BROADCAST_BYTES = 8 << 20
 _MEASURED = T.StructField(QUALITY, T.StructType([T.StructField(n, T.LongType()) for n in MEASURES]))
 
 
@@ -171,7 +173,9 @@ def keep_documents(docs: DataFrame, text: str = "text", host: str = "source") ->
     schema = T.StructType([*docs.schema.fields, _MEASURED])
     measured = written(docs.mapInArrow(_pass(text, True), schema), "quality")
     verdicts = host_verdicts(measured.select(F.col(f"`{host}`").cast("string").alias("host"), f"{QUALITY}.*"))
-    gone = verdicts.where("not host_ok").select(F.col("host").alias("__host"))
+    gone = written(verdicts.where("not host_ok").select(F.col("host").alias("__host")), "hosts")
+    if gone.agg(F.coalesce(F.sum(F.coalesce(F.length("__host"), F.lit(0)) + 32), F.lit(0))).first()[0] <= BROADCAST_BYTES:
+        gone = F.broadcast(gone)  # counted; beyond it, a shuffle on the host
     passed = measured.where(~reduce(Column.__or__, (F.expr(_inside(RULES[r])) for r in BASE)))
     return passed.join(gone, F.col(f"`{host}`").cast("string").eqNullSafe(F.col("__host")), "left_anti").drop(QUALITY)
 
