@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from corpusloom.session import written
 
 NUL = "\u0000"
 
@@ -37,3 +40,15 @@ def canonical_json(**fields: Column) -> Column:
 def seal(**fields: Column) -> Column:
     """SHA-256 of the protected fields' canonical JSON."""
     return F.sha2(canonical_json(**fields), 256)
+
+
+def ordinals(df: DataFrame, order: list[str], name: str = "ordinal") -> DataFrame:
+    """df with 1, 2, ... in a total order. Rows are sorted in ranges and numbered there; a
+    range's offset comes from the counts before it, so no task sees all rows."""
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    placed = written(ranged.withColumn("__m", F.monotonically_increasing_id()), "ordinals")
+    part, row = F.shiftright("__m", 33), F.col("__m").bitwiseAND(F.lit((1 << 33) - 1))
+    counts = placed.groupBy(part.alias("__p")).agg(F.count(F.lit(1)).alias("__n"))  # a row a range
+    before = F.coalesce(F.sum("__n").over(Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = counts.select("__p", before.alias("__o"))
+    return placed.withColumn("__p", part).join(F.broadcast(offsets), "__p").withColumn(name, F.col("__o") + row + 1).drop("__p", "__o", "__m")

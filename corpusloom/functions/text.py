@@ -20,6 +20,12 @@ def nfkc(s: pd.Series) -> pd.Series:
     return s.map(lambda x: None if x is None else unicodedata.normalize("NFKC", x))
 
 
+@F.pandas_udf(T.StringType())
+def casefolded(s: pd.Series) -> pd.Series:
+    """Stripped, casefolded, blanks collapsed: unlike lower case this folds sharp s too."""
+    return s.map(lambda x: None if x is None else " ".join(x.casefold().split()))
+
+
 def normalize(c: Column, variant: str = "words") -> Column:
     """Lower case, then by variant: words keeps letters, digits, _ and %; alnum drops
     other signs in place; alnum_dash maps dashes first; spaces only collapses."""
@@ -110,3 +116,55 @@ def json_object(s: pd.Series) -> pd.Series:
         return None
 
     return s.map(first)
+
+
+def tail(c: Column, prefix: str) -> Column:
+    """What follows a prefix (a pattern); all of it without one."""
+    return F.regexp_replace(F.trim(c), f"^(?:{prefix})", "")
+
+
+def clean_question(c: Column) -> Column:
+    """The question itself: without the image mark, and cut before its choices."""
+    return F.regexp_replace(F.split(F.regexp_replace(c, "<image>", ""), "<choices>:")[0], r"^\s+|\s+$", "")
+
+
+def part(c: Column, name: str) -> Column:
+    """What follows <name> up to the next mark in angle brackets or the end, trimmed."""
+    return F.regexp_replace(F.regexp_extract(c, rf"(?s)<{name}>(.*?)(?=<[a-z_]+>|$)", 1), r"^\s+|\s+$", "")
+
+
+def boxes(c: Column) -> Column:
+    """The boxes that follow <location>, as arrays of whole numbers; null without any."""
+    return F.from_json(part(c, "location"), "array<array<int>>")
+
+
+def leaks_answer(question: Column, answer: Column, exempt: tuple[str, ...] = ()) -> Column:
+    """Whether the question says the answer, both normalised; some answers are exempt."""
+    said = normalize(question).contains(normalize(answer)) & (normalize(answer) != "")
+    return said & ~answer.isin(*exempt) if exempt else said
+
+
+def phrase_counts(c: Column, phrases: list[str]) -> tuple[list[Column], Column]:
+    """(how often each phrase occurs, the words left over). Phrases are taken in order and
+    removed, so that a shorter one does not count inside a longer one."""
+    rest = F.concat(F.lit(" "), F.replace(normalize(c), F.lit(" "), F.lit("  ")), F.lit(" "))
+    out = []
+    for p in phrases:
+        own = F.lit(" " + p.replace(" ", "  ") + " ")
+        less = F.replace(rest, own, F.lit(" | "))
+        out.append(((F.length(rest) - F.length(F.replace(rest, own, F.lit("")))) / F.length(own)).cast("long"))
+        rest = less
+    words = F.filter(F.split(F.trim(rest), " +"), lambda w: (w != "|") & (w != ""))
+    return out, words
+
+
+def templated(key: Column, templates: dict[str, str], slots: dict[str, Column]) -> Column:
+    """The key's template with {name} replaced by slots; a key without one, or a null
+    slot, is an error."""
+    out = F.lit(None).cast("string")
+    for name, template in templates.items():
+        text = F.lit(template)
+        for slot, value in slots.items():
+            text = F.replace(text, F.lit("{" + slot + "}"), value.cast("string"))
+        out = F.when(key == name, text).otherwise(out)
+    return F.when(out.isNull(), F.raise_error(F.concat(F.lit("no template or value for "), F.coalesce(key, F.lit("null"))))).otherwise(out)

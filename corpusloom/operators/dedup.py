@@ -17,8 +17,9 @@ def keep_first(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
 
 def dropped(df: DataFrame, keys: list[str], key: str) -> DataFrame:
     """Rows that keep_first drops, with the kept row's key."""
-    least = df.groupBy(*keys).agg(F.min(key).alias("kept"))
-    return df.join(least, keys).where(F.col(key) != F.col("kept"))
+    least = df.groupBy(*(F.col(k).alias(f"__{k}") for k in keys)).agg(F.min(key).alias("kept"))
+    on = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]  # a null key is a group, as in keep_first
+    return df.join(least, on).drop(*(f"__{k}" for k in keys)).where(F.col(key) != F.col("kept"))
 
 
 def cap(df: DataFrame, keys: list[str], order: list[str], limit: Column) -> DataFrame:

@@ -20,7 +20,7 @@ def array_join_ordered(df: DataFrame, key: str, array: str, right: DataFrame, ri
 def coverage(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """Keys of one side only, with the side."""
     a, b = left.select(key).distinct(), right.select(key).distinct()
-    only = lambda x, y, name: x.join(y, key, "left_anti").withColumn("only_in", F.lit(name))
+    only = lambda x, y, name: x.exceptAll(y).withColumn("only_in", F.lit(name))  # noqa: E731  (null equals null)
     return only(a, b, "left").unionByName(only(b, a, "right"))
 
 
@@ -87,3 +87,39 @@ def mentions(text: str, terms: list[str]) -> Column:
     constants of the plan, so no join is needed."""
     whole = lambda t: F.lower(text).rlike(rf"(?<![\p{{L}}\p{{N}}_])\Q{t.lower()}\E(?![\p{{L}}\p{{N}}_])")
     return F.array_compact(F.array(*(F.when(whole(t), F.lit(t)) for t in terms)))
+
+
+def required_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """An inner join in which every row of left must find its key; else an error that
+    names some of those that do not."""
+    missing = [r[0] for r in left.join(right, key, "left_anti").select(key).limit(5).collect()]
+    if missing:
+        raise ValueError(f"no {key} for {missing}")
+    return left.join(right, key)
+
+
+def renested(df: DataFrame, key: str, array: str, right: DataFrame, right_key: str, fields: list[str]) -> DataFrame:
+    """(key, rows): for each row the structs of right for its array's keys, in order."""
+    pairs = df.select(key, F.posexplode(array).alias("pos", "__k"))
+    found = pairs.join(right.select(F.col(right_key).alias("__k"), *fields), "__k")
+    rows = F.array_sort(F.collect_list(F.struct("pos", *fields)))
+    nested = found.groupBy(key).agg(F.transform(rows, lambda r: F.struct(*(r[f].alias(f) for f in fields))).alias("rows"))
+    return df.select(key).join(nested, key, "left")
+
+
+def resolved_delta(base: DataFrame, delta: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """base with its columns overridden by the delta's where that has one; null inherits."""
+    d = delta.select(key, *(F.col(c).alias(f"__{c}") for c in columns))
+    joined = base.join(d, key, "left")
+    changed = [F.coalesce(f"__{c}", c).alias(c) for c in columns]
+    same = [c for c in base.columns if c not in columns]
+    hit = F.coalesce(*(F.when(F.col(f"__{c}").isNotNull(), F.lit(True)) for c in columns), F.lit(False))
+    return joined.select(*same, *changed, hit.alias("overridden"))
+
+
+def routes(candidates: list[tuple[str, Column]], default: str) -> Column:
+    """The name of the first condition that holds."""
+    out = F.lit(default)
+    for name, c in reversed(candidates):
+        out = F.when(c, F.lit(name)).otherwise(out)
+    return out

@@ -20,13 +20,33 @@ def hash_ranked(df: DataFrame, group: str, key: str, salt: str, share: Column) -
 def quotas(counts: DataFrame, group: str, n: str, total: int) -> DataFrame:
     """Largest-remainder shares of total in proportion to n: (group, quota)."""
     whole = counts.agg(F.sum(n)).first()[0] or 1
-    exact = F.col(n) * F.lit(total) / F.lit(whole)
-    parts = counts.select(group, F.floor(exact).alias("base"), (F.col(n) * F.lit(total) % F.lit(whole)).alias("rest"))
+    share = F.col(n).cast("decimal(38,0)") * F.lit(total)  # whole numbers throughout
+    rest = share % F.lit(whole)
+    parts = counts.select(group, ((share - rest) / F.lit(whole)).cast("long").alias("base"), rest.alias("rest"))
     left = total - (parts.agg(F.sum("base")).first()[0] or 0)
     rank = F.row_number().over(Window.orderBy(F.desc("rest"), group))  # one row a group
     return parts.select(group, (F.col("base") + F.when(rank <= left, 1).otherwise(0)).cast("long").alias("quota"))
 
 
+def capped_quotas(shares: dict[str, float], available: dict[str, int], total: int) -> dict[str, int]:
+    """Largest-remainder shares of total, none above what is available; what a full group
+    cannot take is shared among the others. For a few groups."""
+    quota = dict.fromkeys(shares, 0)
+    open_ = {g for g in shares if available.get(g, 0) > 0 and shares[g] > 0}
+    left = min(total, sum(available.get(g, 0) for g in open_))
+    while left and open_:
+        weight = sum(shares[g] for g in open_)
+        exact = {g: left * shares[g] / weight for g in open_}
+        give = {g: int(exact[g]) for g in open_}
+        for g in sorted(open_, key=lambda g: (give[g] - exact[g], g))[: left - sum(give.values())]:
+            give[g] += 1
+        for g in sorted(open_):
+            quota[g] += min(give[g], available[g] - quota[g])
+        left = min(total, sum(available.get(g, 0) for g in shares if shares[g] > 0)) - sum(quota.values())
+        open_ = {g for g in open_ if quota[g] < available[g]}
+    return quota
+
+
 def diverse(profiles: list[tuple[str, set[str]]], n: int, freq: dict[str, int] | None = None) -> list[str]:
     """n keys, each time the one with the rarest and least chosen features; ties by key.
     For a table of profiles that a caller has bounded; freq: the features' counts, if

@@ -30,13 +30,13 @@ def most_common(tokens: DataFrame, token: str, n: int) -> DataFrame:
     return tokens.groupBy(token).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), token).limit(n)
 
 
-def majority_baseline(train: DataFrame, test: DataFrame, key: str, label: str) -> DataFrame:
+def majority_baseline(train: DataFrame, test: DataFrame, key: str, label: str, by: list[str] | None = None) -> DataFrame:
     """Accuracy and coverage of predicting each key's majority label, the global one for
-    unseen keys."""
+    unseen keys; by: for each value of these columns."""
     top = train.groupBy(label).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), label).first()
     joined = test.join(majority(train, key, label), key, "left")
     guess = F.coalesce("predicted", F.lit(top[label] if top else None))
-    return joined.agg(F.count(F.lit(1)).alias("n"), F.avg((guess == F.col(label)).cast("double")).alias("accuracy"), F.avg(F.col("predicted").isNotNull().cast("double")).alias("coverage"))
+    return joined.groupBy(*(by or [])).agg(F.count(F.lit(1)).alias("n"), F.avg((guess == F.col(label)).cast("double")).alias("accuracy"), F.avg(F.col("predicted").isNotNull().cast("double")).alias("coverage"))
 
 
 def rare(df: DataFrame, value: str, below: int) -> DataFrame:

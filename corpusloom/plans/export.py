@@ -2,20 +2,10 @@
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def choices(options: Column, inline: bool = False) -> Column:
-    """A map's entries by key: lines of 'A. text', or ' <choices>: [A: text, ...]'."""
-    entries = F.array_sort(F.map_entries(options))
-    if inline:
-        return F.concat(F.lit(" <choices>: ["), F.array_join(F.transform(entries, lambda e: F.concat(e["key"], F.lit(": "), e["value"])), ", "), F.lit("]"))
-    return F.array_join(F.transform(entries, lambda e: F.concat(F.lit("\n"), e["key"], F.lit(". "), e["value"])), "")
-
-
 def conversation(df: DataFrame, key: str, order: str, role: str, text: str) -> DataFrame:
     """(key, n_turns, transcript): the turns of each key in order, as role: text lines."""
     turns = F.array_sort(F.collect_list(F.struct(order, F.concat(F.col(role), F.lit(": "), F.col(text)).alias("line"))))
@@ -32,8 +22,3 @@ def manifest_hash(df: DataFrame, *columns: str) -> DataFrame:
     """One row: the SHA-256 over all rows in order, one line each. For small tables."""
     line = F.concat_ws("\u0000", *(F.col(c).cast("string") for c in columns))
     return df.agg(F.sha2(F.array_join(F.array_sort(F.collect_list(line)), "\n"), 256).alias("sha256"), F.count(F.lit(1)).alias("n"))
-
-
-def write_pretty(path: str, value: object) -> None:
-    with open(path, "w", encoding="utf-8") as f:
-        json.dump(value, f, ensure_ascii=False, indent=2, sort_keys=True)

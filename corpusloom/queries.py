@@ -9,25 +9,14 @@ from corpusloom.functions import ids, text
 from corpusloom.operators import dedup, relate, sampling, similar, stats
 from corpusloom.operators.graph import connected_components
 from corpusloom.plans import export, facts
+from corpusloom.registry import ORACLE_SQL, QUERIES, query  # noqa: F401
 from corpusloom.session import scratch, table
 from corpusloom.streaming.resume import resumed
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
 NORM = r"trim(regexp_replace(lower(text), '[^\p{L}\p{N}_%]+', ' ', 'g'))"
 BUCKET = "CAST('0x' || substr(sha256(CAST({} AS VARCHAR)), 1, 8) AS BIGINT) % 100"
 
 
-def query(sql: str | None = None):
-    def register(f):
-        QUERIES[f.__name__] = f
-        if sql:
-            ORACLE_SQL[f.__name__] = sql
-        return f
-
-    return register
-
-
 @query(rf"""WITH n AS (SELECT *, {NORM} AS norm FROM documents),
     k AS (SELECT *, row_number() OVER (PARTITION BY lang, norm ORDER BY doc_id) AS r FROM n)
     SELECT k.lang, l.quality, count(*) AS n, min('doc_' || substr(sha256(CAST(k.doc_id AS VARCHAR) || chr(0) || k.lang), 1, 20)) AS first_id
@@ -224,9 +213,19 @@ def polygon_measures(spark, d):
     return p.select("vec_id", F.round(G.area(F.col("polygon")), 6).alias("area"), *(F.round(F.col("b")[i], 6).alias(n) for i, n in enumerate(("x0", "y0", "x1", "y1"))))
 
 
-@query()
+@query("""WITH p AS (SELECT vec_id, list_transform(range(0, 32), lambda i: {'x': CAST(round(CAST(embedding[2*i+1] AS DOUBLE), 6) * 1000000 AS DOUBLE), 'y': CAST(round(CAST(embedding[2*i+2] AS DOUBLE), 6) * 1000000 AS DOUBLE)}) AS ring FROM embeddings),
+    t AS (SELECT vec_id, list_transform(ring, lambda q: {'x': CAST(round(q.x) AS BIGINT), 'y': CAST(round(q.y) AS BIGINT)}) AS ring FROM p),
+    e AS (SELECT vec_id, ring AS r FROM t UNION ALL SELECT vec_id, list_reverse(ring) FROM t),
+    o AS (SELECT vec_id, min(list_concat(r[k + 1:], r[1:k])) AS r FROM e, (SELECT unnest(range(0, 32)) AS k) GROUP BY 1)
+    SELECT vec_id, sha256(array_to_string(list_transform(r, lambda q: q.x || ',' || q.y), ';')) AS geometry_hash FROM o""")
 def ring_normal_form(spark, d):
-    return _polygons(spark, d).select("vec_id", F.sha2(F.to_json(G.ring(F.col("polygon"))), 256).alias("geometry_hash"))
+    """Each ring starts anywhere, runs either way and may be closed or repeat a point."""
+    k = (F.col("vec_id") % 32).cast("int")
+    p = F.col("polygon")
+    turned = F.concat(F.slice(p, k + 1, 32 - k), F.slice(p, F.lit(1), k))
+    turned = F.when(F.col("vec_id") % 2 == 0, F.reverse(turned)).otherwise(turned)
+    turned = F.when(F.col("vec_id") % 3 == 0, F.concat(turned, F.slice(turned, 1, 1))).otherwise(F.concat(F.slice(turned, 1, 1), turned))
+    return _polygons(spark, d).select("vec_id", G.ring_hash(turned).alias("geometry_hash"))
 
 
 @query("""WITH b AS (SELECT vec_id, label, embedding[1] AS x0, embedding[2] AS y0, embedding[1] + abs(embedding[3]) AS x1, embedding[2] + abs(embedding[4]) AS y1 FROM embeddings)
@@ -235,8 +234,7 @@ def bbox_overlap_pairs(spark, d):
     v = table(spark, d, "embeddings")
     e = F.col("embedding")
     b = v.select("label", "vec_id", F.array(e[0], e[1], e[0] + F.abs(e[2]), e[1] + F.abs(e[3])).alias("box"))
-    left, right = (b.select("label", F.col("vec_id").alias(n), F.col("box").alias(f"box_{n}")) for n in "ab")
-    return left.join(right, "label").where(F.col("a") < F.col("b")).where(G.boxes_overlap(F.col("box_a"), F.col("box_b"))).select("label", "a", "b")
+    return similar.box_pairs(b, "label", "vec_id", "box", 0.5).select("label", "a", "b")
 
 
 @query("""WITH h AS (SELECT vec_id, list_aggregate(list_transform(embedding, lambda x: CASE WHEN x > 0 THEN '1' ELSE '0' END), 'string_agg', '') AS h FROM embeddings)
@@ -325,7 +323,9 @@ def manifest_hash(spark, d):
     return export.manifest_hash(table(spark, d, "nation"), "n_nationkey", "n_name")
 
 
-@query()
+@query("""WITH p AS (SELECT vec_id, list_transform(embedding, lambda v: CAST(v AS DOUBLE)) AS s FROM embeddings),
+    b AS (SELECT vec_id, s, list_transform(range(0, 32), lambda i: s[2*i+1]) AS x, list_transform(range(0, 32), lambda i: s[2*i+2]) AS y FROM p)
+    SELECT vec_id, s AS segmentation, [list_min(x), list_min(y), list_max(x) - list_min(x), list_max(y) - list_min(y)] AS bbox FROM b""")
 def label_matrix_coco(spark, d):
     p = _polygons(spark, d)
     return export.coco_rows(p, "vec_id", F.col("polygon"), G.bbox(F.col("polygon")))
@@ -449,3 +449,6 @@ def joined_items(spark, d):
 @query(r"""SELECT item_id, upper(substr(b, 1, 1)) || substr(b, 2) || '.' AS sentence FROM (SELECT item_id, rtrim(regexp_replace(trim(text), '\.+$', '')) AS b FROM benchmark)""")
 def sentences(spark, d):
     return table(spark, d, "benchmark").select("item_id", text.sentence(F.col("text")).alias("sentence"))
+
+
+from corpusloom import queries_plans, queries_shapes, queries_sources  # noqa: E402, F401  (they register more)
