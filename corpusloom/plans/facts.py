@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,3 +39,64 @@ def sealed(df: DataFrame, fields: list[str], name: str = "protected_sha256") ->
 def tampered(df: DataFrame, fields: list[str], name: str = "protected_sha256") -> DataFrame:
     """Rows whose fields no longer match their seal."""
     return df.where(~F.col(name).eqNullSafe(seal(**{f: F.col(f) for f in fields})))
+
+
+@dataclass(frozen=True)
+class Spec:
+    """One kind of fact that a region may give: value is JSON text, null for no fact;
+    parent is the place in the list of the spec whose fact this one details."""
+
+    kind: str
+    concept: Column
+    family: Column
+    value: Column
+    surface: Column
+    polarity: Column
+    parent: int | None = None
+    eligible: bool = True
+
+
+FACT = ("kind", "concept", "family", "value", "surface", "polarity")
+
+
+def fact_id(image: Column, region: Column, kind: Column, concept: Column, value: Column, polarity: Column) -> Column:
+    return stable_id("fact", image, F.coalesce(region, F.lit("image")), kind, concept, value, polarity)
+
+
+def build_facts(regions: DataFrame, image: str, region: str, specs: list[Spec], places: Column, accepted: Column) -> DataFrame:
+    """One row for each fact of each region: the specs with a value, and its places, which
+    are never asked about. A parent's id is computed from the same row, so nothing is
+    joined or shuffled."""
+    own, none = F.col(region), F.lit(None).cast("string")
+    ids = [F.when(s.value.isNotNull(), fact_id(F.col(image), own, F.lit(s.kind), s.concept, s.value, s.polarity)) for s in specs]
+
+    def row(kind, concept, family, value, surface, polarity, id_, parent, eligible):
+        cells = (F.lit(kind), concept, family, value, surface, polarity, id_, parent, accepted & F.lit(eligible))
+        return F.struct(*(c.alias(n) for c, n in zip(cells, (*FACT, "fact_id", "parent_fact_id", "eligible"))))
+
+    facts = F.array(*(row(s.kind, s.concept, s.family, s.value, s.surface, s.polarity, i, none if s.parent is None else ids[s.parent], s.eligible) for s, i in zip(specs, ids)))
+
+    def place(p: Column) -> Column:
+        value = F.concat(F.lit('"'), p, F.lit('"'))
+        return row("anatomy", p, F.lit("anatomy"), value, p, F.lit("present"), fact_id(F.col(image), own, F.lit("anatomy"), p, value, F.lit("present")), none, False)
+
+    sorted_places = F.array_sort(F.array_distinct(places))
+    every = F.concat(F.filter(facts, lambda f: f["value"].isNotNull()), F.transform(sorted_places, place))
+    rows = regions.select(F.col(image).alias("image_id"), own.alias("region_id"), sorted_places.alias("places"), F.array(own).alias("evidence"), every.alias("__facts"))
+    return rows.select("image_id", "region_id", "places", "evidence", F.inline("__facts"))
+
+
+def image_state_facts(images: DataFrame, image: str, state: Column, concept: str, surface: str, evidence: Column, accepted: Column) -> DataFrame:
+    """The fact of an image's own three-valued state; none where that is null."""
+    value, polarity, none = state.cast("string"), F.when(state, "present").otherwise("absent"), F.lit(None).cast("string")
+    cells = {"image_id": F.col(image), "region_id": none, "places": F.array().cast("array<string>"), "evidence": F.array_sort(evidence), "kind": F.lit("image_state"), "concept": F.lit(concept), "family": F.lit("image_state"), "value": value, "surface": F.lit(surface), "polarity": polarity}
+    id_ = fact_id(F.col(image), none, F.lit("image_state"), F.lit(concept), value, polarity)
+    return images.where(state.isNotNull()).select(*(c.alias(n) for n, c in cells.items()), id_.alias("fact_id"), none.alias("parent_fact_id"), accepted.alias("eligible"))
+
+
+def unsupported_attributes(facts: DataFrame) -> DataFrame:
+    """(fact_id, failure): attributes whose parent is missing or not present."""
+    parents = facts.select(F.col("fact_id").alias("parent_fact_id"), F.col("polarity").alias("__p")).distinct()
+    kids = facts.where("kind = 'attribute'").select("fact_id", "parent_fact_id").distinct().join(parents, "parent_fact_id", "left")
+    failure = F.when(F.col("__p").isNull(), "parent_missing").when(F.col("__p") != "present", "parent_not_present")
+    return kids.withColumn("failure", failure).where("failure is not null").select("fact_id", "failure")

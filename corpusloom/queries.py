@@ -451,4 +451,4 @@ def sentences(spark, d):
     return table(spark, d, "benchmark").select("item_id", text.sentence(F.col("text")).alias("sentence"))
 
 
-from corpusloom import queries_plans, queries_shapes, queries_sources  # noqa: E402, F401  (they register more)
+from corpusloom import queries_plans, queries_runs, queries_shapes, queries_sources  # noqa: E402, F401  (they register more)
