@@ -63,6 +63,17 @@ def written(df: DataFrame, name: str, partition_by: list[str] | None = None) ->
     return spark.read.schema(df.schema).parquet(path)
 
 
+def parts_for(df: DataFrame, each: int = 32 << 20, most: int = 1 << 16) -> int:
+    """How many partitions a table's rows should be dealt to: the configured number, or
+    more where its files, as the plan knows them, have more than so many bytes each."""
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    try:
+        size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    except AttributeError:  # a session without the JVM at hand
+        return least
+    return max(least, min(-(-size // each), most))
+
+
 def importable(spark: SparkSession) -> None:
     """Let Python workers on this machine import the package from where the driver has
     it; executors elsewhere get it by --py-files."""
