@@ -2,7 +2,8 @@
 
 Every version of a file is addressed by the SHA-256 of its text. The ledger holds, for
 each (blob, rule version) scanned so far, the blob's findings; a run scans only pairs
-that the ledger lacks and joins findings back to every path that ever held the blob.
+that the ledger lacks, appends their rows and no others, and joins findings back to every
+path that ever held the blob.
 
 One text is scanned for each blob: copies are dropped within each task before the
 shuffle by blob and again after it, so a group of copies with a third of all rows
@@ -10,8 +11,8 @@ sends at most one text from each task. The join back is on the blob, where the l
 side's hot blob is split by AQE.
 
 Defined results: a null text is the empty blob, which has no findings; repeated rows
-are each returned; a null path stays; an empty history gives empty results; other
-columns are not read.
+are each returned; a null path stays; very long texts are scanned whole; an empty history
+gives empty results; other columns are not read.
 """
 
 from __future__ import annotations
@@ -21,12 +22,15 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.session import table, written
+from corpusloom.session import parts_for, scratch, table
 
 RULE_VERSION = "1"
+#: Blobs that a task remembers, at most.
+SEEN = 1 << 19
 
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
 #: A keyword is there whenever this matches; most texts have none.
@@ -73,6 +77,8 @@ def _first_copies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         for blob in batch.column("blob").to_pylist():
             key = bytes.fromhex(blob[:32])
             keep.append(key not in seen)
+            if len(seen) >= SEEN:
+                seen.clear()  # a copy more is sent
             seen.add(key)
         yield batch.filter(pa.array(keep, pa.bool_()))
 
@@ -85,6 +91,8 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for blob, text in zip(batch.column("blob").to_pylist(), batch.column("text")):
             if (key := bytes.fromhex(blob[:32])) in seen:
                 continue
+            if len(seen) >= SEEN:
+                seen.clear()  # a copy more is scanned
             seen.add(key)
             found = find(text.as_py())
             base = [x for x in found if x[1] < len(BASE)]
@@ -96,35 +104,70 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
 
-def addressed(history: DataFrame, text: str = "text") -> DataFrame:
-    """history with text never null and its content address, blob."""
-    return history.withColumn(text, F.coalesce(F.col(text), F.lit(""))).withColumn("blob", F.sha2(F.col(text), 256))
+def _blob(text: str | Column) -> Column:
+    """A text's content address; null is the empty text."""
+    return F.sha2(F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit("")), 256)
 
 
-def scan_unseen(history: DataFrame, ledger: DataFrame | None = None, text: str = "text", rule_version: str = RULE_VERSION) -> DataFrame:
-    """New ledger rows: the results of blobs that the ledger lacks for this rule version."""
-    blobs = addressed(history.select(F.col(text).alias("text"))).select("blob", "text")
-    if ledger is not None:
-        known = ledger.where(F.col("rule_version") == rule_version).select("blob").distinct()
-        blobs = blobs.join(known, "blob", "left_anti")
-    n = int(history.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+class Ledger:
+    """What has been scanned: rows of RESULT with rule_version, one for each pair of blob
+    and rule version, in a folder to which each run adds its own rows only."""
+
+    def __init__(self, spark: SparkSession, path: str | None = None):
+        self.spark, self.path, self.rows = spark, path or scratch(spark, "ledger"), None
+
+    def known(self, rule_version: str) -> DataFrame | None:
+        """The rows of a rule version; None before anything was scanned."""
+        rows = self._all()
+        return None if rows is None else rows.where(F.col("rule_version") == rule_version).drop("rule_version")
+
+    def _all(self) -> DataFrame | None:
+        if self.rows is None:
+            try:
+                self.rows = self.spark.read.schema(f"{RESULT}, rule_version string").parquet(self.path)
+            except AnalysisException:  # nothing there yet
+                return None
+        return self.rows
+
+    def add(self, rows: DataFrame) -> None:
+        rows.write.mode("append").option("compression", "zstd").parquet(self.path)
+        self.rows = None  # listed anew
+
+
+def scan_unseen(history: DataFrame, ledger: Ledger, text: str = "text", rule_version: str = RULE_VERSION) -> DataFrame:
+    """RESULT of the blobs that the ledger lacks for this rule version, one row each.
+
+    Texts are dealt by blob once; the known blobs are dealt alike and left out there."""
+    body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
+    blobs = history.select(F.sha2(body, 256).alias("blob"), body.alias("text"))
+    n = parts_for(history)
     once = blobs.mapInArrow(_first_copies, "blob string, text string").repartition(n, "blob")
-    return once.mapInArrow(_scan, RESULT).withColumn("rule_version", F.lit(rule_version))
+    known = ledger.known(rule_version)
+    if known is not None:
+        once = once.join(known.select("blob").repartition(n, "blob").hint("shuffle_hash"), "blob", "left_anti")
+    return once.mapInArrow(_scan, RESULT).dropDuplicates(["blob"])
+
 
+def scan(history: DataFrame, ledger: Ledger, text: str = "text", rule_version: str = RULE_VERSION) -> None:
+    """Scans what is new in history and adds it to the ledger."""
+    ledger.add(scan_unseen(history, ledger, text, rule_version).withColumn("rule_version", F.lit(rule_version)))
 
-def scan(history: DataFrame, ledger: DataFrame | None = None, keys: tuple[str, ...] = ("doc_id",), text: str = "text", rule_version: str = RULE_VERSION) -> tuple[DataFrame, DataFrame]:
-    """(findings of every row of history, the grown ledger).
 
-    The ledger (RESULT and rule_version) is written to the shared folder; a caller
-    keeps it for the next run.
-    """
-    new = scan_unseen(history, ledger, text, rule_version)
-    grown = written(new if ledger is None else ledger.select(*new.columns).unionByName(new), "ledger")
-    paths = addressed(history.select(*keys, F.col(text).alias("__text")), "__text").drop("__text")
-    results = grown.where(F.col("rule_version") == rule_version).drop("rule_version")
-    return paths.join(results, "blob"), grown
+def findings(history: DataFrame, ledger: Ledger, keys: tuple[str, ...] = ("doc_id",), text: str = "text", rule_version: str = RULE_VERSION) -> DataFrame:
+    """Every row of history with what the ledger has for its blob: keys, then RESULT. A key
+    named like a column of RESULT is an error."""
+    taken = {c.split()[0] for c in RESULT.split(", ")}
+    if clash := taken.intersection(keys):
+        raise ValueError(f"rename {sorted(clash)}")
+    known = ledger.known(rule_version)
+    if known is None:
+        known = ledger.spark.createDataFrame([], RESULT)
+    return history.select(*(F.col(f"`{k}`") for k in keys), _blob(F.col(f"`{text}`")).alias("blob")).join(known, "blob")
 
 
 def op1_blob_ledger(spark, sf_dir):
-    found, _ = scan(table(spark, sf_dir, "documents"))
-    return found.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "blob")
+    """Documents arrive in two parts; the second scans what the first has not seen."""
+    docs, ledger = table(spark, sf_dir, "documents"), Ledger(spark)
+    for part in range(2):
+        scan(docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(2)) == part), ledger)
+    return findings(docs, ledger).select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "blob")
