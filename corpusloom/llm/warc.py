@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.session import scratch, table
+from corpusloom.session import scratch, table, written
 from corpusloom.sources.files import filesystem, replacing
 
 LEAST_REVISIT = 1000
@@ -201,11 +201,23 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def read_warc(spark, files: list[dict], split: int = SPLIT) -> DataFrame:
     """READ: one row for each record of the archives (path and bytes of each)."""
-    ranges = [(f["path"], a, a + split) for f in files for a in range(0, f["bytes"], split)]
-    dealt = spark.createDataFrame(ranges, "path string, start long, end long").repartition(max(1, min(len(ranges), 10_000)))
+    n = sum(-(-f["bytes"] // split) for f in files)
+    listed = spark.createDataFrame([(f["path"], f["bytes"]) for f in files if f["bytes"]], "path string, bytes long")
+    starts = listed.select("path", F.explode(F.sequence(F.lit(0).cast("long"), F.col("bytes") - 1, F.lit(split).cast("long"))).alias("start"))
+    dealt = starts.select("path", "start", (F.col("start") + split).alias("end")).repartition(max(1, min(n, 10_000)))
     return dealt.mapInArrow(_read, READ)
 
 
+def read_whole(spark, files: list[dict], split: int = SPLIT) -> DataFrame:
+    """read_warc of archives whose number of records is known; an error if some of them
+    could not be read, as of a damaged member only its own record is lost."""
+    out = written(read_warc(spark, files, split), "warc-records")
+    want, got = sum(f["records"] for f in files), out.count()
+    if got != want:
+        raise ValueError(f"{got} records read of {want} written")
+    return out
+
+
 def op4_splittable_warc(spark, sf_dir):
     files = write_warc(table(spark, sf_dir, "pages"), scratch(spark, "warc"))
-    return read_warc(spark, files).drop("path", "offset")
+    return read_whole(spark, files).drop("path", "offset")
