@@ -5,7 +5,9 @@ nothing, a byte moved from one shard to another costs one. The cheapest flow say
 many bytes each old shard keeps and hands to each other one. Inside an old shard
 documents stand in order of (hash of text, hash of id), and its outgoing blocks are
 ranges of that order, so a document's new shard is a function of its own hashes and of a
-few cut points, and the rewrite needs no shuffle.
+few cut points. A shard's files hold ranges of the order too. Those that lie between two
+cuts are kept or moved as they are; only the few that a cut divides are rewritten, and
+that needs no shuffle.
 
 Cut points come from radix histograms: bytes by the next ten bits of the hash, summed
 on the executors, only inside the buckets where a cut falls, until a bucket is one
@@ -16,8 +18,10 @@ Slots number a shard's documents: counts by (shard, bucket) give offsets, and ro
 numbered inside a bucket, so no task sees a whole shard.
 
 Defined results: a null text has size 1 and the checksum of nothing; null ids and
-repeated rows are documents like others, each with a slot of its own; an empty table
-gives no rows; other columns are carried into the rewritten files.
+repeated rows are documents like others, each with a slot of its own; very long texts
+are handled whole, and may make their shard larger than others by their size; an empty
+table gives no rows; all columns of the documents are carried, in a struct, so that their
+names cannot clash.
 """
 
 from __future__ import annotations
@@ -26,11 +30,15 @@ import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from corpusloom.session import scratch, table, written
 
 BITS = 10
+#: Ranges of an old shard's order, each of which is a folder of files.
+PART_BITS = 4
+PARTS = 1 << PART_BITS
 GROUP = 0.005
 SLOT_ROWS = 20_000
 
@@ -144,17 +152,26 @@ def cut_points(narrow: DataFrame, targets: dict[int, list[int]], capacity: int)
     return {o: [done[o, k] for k in range(len(ts))] for o, ts in targets.items()}
 
 
-def _not_below(prefix: tuple[int, ...]) -> Column:
-    """Whether a document's digits are at or after the prefix."""
-    out = None
-    for (c, level), digit in reversed(list(zip(DIGITS, prefix))):
-        here = _bits(c, level)
-        out = (here >= digit) if out is None else (here > digit) | ((here == digit) & out)
-    return out
+def _key(prefix: tuple[int, ...]) -> str:
+    """The least (th, dh) at or after a cut, as 32 hexadecimal digits; "G" is after all."""
+    value, per = 0, -(-64 // BITS)
+    for i in range(2 * per):
+        digit = prefix[i] if i < len(prefix) else 0
+        level = i % per
+        width = BITS if 64 - BITS * (level + 1) >= 0 else 64 - BITS * level
+        # the last level's digits are shifted up to ten bits
+        value = (value << width) + (digit if width == BITS else -(-digit >> (BITS - width)))
+    return "G" if value >= 1 << 128 else f"{value:032X}"
 
 
-def assignment(narrow: DataFrame, new: int, old_shards: int) -> tuple[Column, list[list[int]]]:
-    """(the new shard as a function of old, th and dh; the flow). narrow: old, th, dh, size."""
+def _hex_key() -> Column:
+    """A document's (th, dh) as 32 hexadecimal digits, in their signed order."""
+    return F.concat(*(F.lpad(F.hex(F.col(c).bitwiseXOR(F.lit(-(1 << 63)))), 16, "0") for c in ("__th", "__dh")))
+
+
+def assignment(narrow: DataFrame, new: int, old_shards: int) -> tuple[list[tuple[int, list[str], list[int]]], list[list[int]]]:
+    """(for each old shard its cuts, as keys, and the new shards between them; the flow).
+    narrow: old, th, dh, size."""
     by = {r["old"]: r["bytes"] for r in narrow.groupBy("old").agg(F.sum("size").alias("bytes")).collect()}
     sizes = [by.get(o, 0) for o in range(old_shards)]
     total = sum(sizes)
@@ -167,31 +184,59 @@ def assignment(narrow: DataFrame, new: int, old_shards: int) -> tuple[Column, li
         sums = [sum(row[j] for j in order[: k + 1]) for k in range(len(order) - 1)]
         targets[o] = sums
     cuts = cut_points(narrow, targets, max(1, total // new))
-    shard = F.lit(None).cast("int")
-    for o, order in goes.items():
-        own = F.lit(order[0])
-        for cut, j in zip(cuts[o], order[1:]):
-            own = F.when(_not_below(cut), F.lit(j)).otherwise(own)
-        shard = F.when(F.col("old") == o, own).otherwise(shard)
-    return shard.cast("int"), flow
+    return [(o, [_key(c) for c in cuts[o]], goes[o]) for o in goes], flow
 
 
-def reshard(docs: DataFrame, new: int = 8, old: Column | None = None, old_shards: int = 5, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, list[list[int]]]:
-    """(the rewritten files, a folder for each shard, read back; the flow).
+def _shard(df: DataFrame, plan: list[tuple[int, list[str], list[int]]]) -> DataFrame:
+    """df (__old, __th, __dh) with __shard: a look into its old shard's few cuts."""
+    cuts = df.sparkSession.createDataFrame(plan, "__old int, __cuts array<string>, __goes array<int>")  # a row a shard
+    key = _hex_key()
+    after = F.size(F.filter("__cuts", lambda c: c <= key))
+    return df.join(F.broadcast(cuts), "__old").withColumn("__shard", F.element_at("__goes", after + 1)).drop("__cuts", "__goes")
 
-    old: each document's old shard, 0 to old_shards-1; by default by its text's checksum.
-    Added columns: size, text_crc32, old_shard, shard.
-    """
-    body = F.coalesce(F.col(text), F.lit(""))
+
+def write_shards(docs: DataFrame, old: Column | None = None, old_shards: int = 5, doc_id: str = "doc_id", text: str = "text") -> str:
+    """Lays docs out as old shards: a folder for each shard and each of its PARTS ranges of
+    the order. The rows keep all their columns, whatever their names, in a struct.
+
+    old: each document's old shard, 0 to old_shards-1; by default by its text's checksum."""
+    body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     crc = F.crc32(body.cast("binary"))
-    old = (crc % old_shards).cast("int") if old is None else old
-    with_keys = docs.withColumns({"old": old, "th": F.xxhash64(body), "dh": F.xxhash64(F.col(doc_id)), "size": (F.octet_length(body) + 1).cast("long")})
-    narrow = written(with_keys.select("old", "th", "dh", "size"), "sizes")
-    shard, flow = assignment(narrow, new, old_shards)
-    full = with_keys.withColumns({"shard": shard, "text_crc32": crc}).withColumnRenamed("old", "old_shard").drop("th", "dh")
-    path = scratch(docs.sparkSession, "shards")
-    full.write.option("compression", "zstd").partitionBy("shard").parquet(path)
-    return docs.sparkSession.read.schema(full.schema).parquet(path), flow
+    th = F.xxhash64(body)
+    part = F.shiftrightunsigned(th.bitwiseXOR(F.lit(-(1 << 63))), 64 - PART_BITS).cast("int")
+    rows = docs.select(
+        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), (F.octet_length(body) + 1).cast("long").alias("__size"), crc.alias("__crc"), th.alias("__th"), F.xxhash64(F.col(f"`{doc_id}`")).alias("__dh"),
+        ((crc % old_shards) if old is None else old).cast("int").alias("__old"), part.alias("__part"))
+    path = scratch(docs.sparkSession, "old-shards")
+    rows.write.option("compression", "zstd").partitionBy("__old", "__part").parquet(path)
+    return path
+
+
+def reshard(spark, path: str, schema, new: int = 8, old_shards: int = 5) -> tuple[DataFrame, DataFrame, list[list[int]]]:
+    """(the new shards' rows, a manifest of the parts, the flow) of shards that
+    write_shards laid out for documents of this schema.
+
+    A part all of whose documents go to one shard is not rewritten: the manifest (old,
+    part, docs, bytes, shard) lists its files under that shard, and moves them as they
+    are if it is another. Only parts that a cut divides are read and written again, in a
+    folder for each new shard. Rows: row, size, text_crc32, old_shard, shard."""
+    kind = T.StructType([T.StructField("row", schema), *(T.StructField(n, T.LongType()) for n in ("__size", "__crc", "__th", "__dh")), *(T.StructField(n, T.IntegerType()) for n in ("__old", "__part"))])
+    files = spark.read.schema(kind).option("basePath", path).parquet(path)
+    narrow = files.select(F.col("__old").alias("old"), F.col("__th").alias("th"), F.col("__dh").alias("dh"), F.col("__size").alias("size"))
+    plan, flow = assignment(narrow, new, old_shards)
+    ends = _shard(files.select("__old", "__part", "__th", "__dh", "__size"), plan).groupBy("__old", "__part")
+    ends = ends.agg(F.min("__shard").alias("lo"), F.max("__shard").alias("hi"), F.count(F.lit(1)).alias("docs"), F.sum("__size").alias("bytes"))
+    parts = [tuple(r) for r in ends.collect()]  # PARTS rows for each old shard
+    manifest = spark.createDataFrame([(o, p, n, b, lo if lo == hi else None) for o, p, lo, hi, n, b in parts], "old int, part int, docs long, bytes long, shard int")
+    whole = F.broadcast(manifest.where("shard is not null").select(F.col("old").alias("__old"), F.col("part").alias("__part"), F.col("shard").alias("__shard")))
+    cut = F.broadcast(manifest.where("shard is null").select(F.col("old").alias("__old"), F.col("part").alias("__part")))
+    moved = scratch(spark, "new-shards")
+    divided = _shard(files.join(cut, ["__old", "__part"], "left_semi"), plan)
+    divided.select(*kind.names, "__shard").write.option("compression", "zstd").partitionBy("__shard").parquet(moved)
+    again = spark.read.schema(T.StructType([*kind.fields, T.StructField("__shard", T.IntegerType())])).parquet(moved)
+    rows = files.join(whole, ["__old", "__part"]).select(*kind.names, "__shard").unionByName(again)
+    out = rows.select("row", F.col("__size").alias("size"), F.col("__crc").alias("text_crc32"), F.col("__old").alias("old_shard"), F.col("__shard").alias("shard"))
+    return out, manifest, flow
 
 
 def with_slots(files: DataFrame, keys: tuple[str, ...] = ("doc_id", "text_crc32")) -> DataFrame:
@@ -207,8 +252,9 @@ def with_slots(files: DataFrame, keys: tuple[str, ...] = ("doc_id", "text_crc32"
 
 
 def op6_min_cost_flow(spark, sf_dir):
-    files, _ = reshard(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    back = F.coalesce(F.col("text"), F.lit(""))
-    rows = files.select("doc_id", (F.octet_length(back) + 1).cast("long").alias("size"), F.crc32(back.cast("binary")).alias("text_crc32"), "shard", "old_shard")
-    out = with_slots(rows)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    files, _, _ = reshard(spark, write_shards(docs), docs.schema)
+    back = F.coalesce(F.col("row.text"), F.lit(""))
+    rows = files.select("row.doc_id", (F.octet_length(back) + 1).cast("long").alias("size"), F.crc32(back.cast("binary")).alias("text_crc32"), "shard", "old_shard")
+    out = with_slots(written(rows, "sharded"))
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "old_shard")
