@@ -1,6 +1,7 @@
 """Token ids of documents in flat files with Elias-Fano document boundaries.
 
-A file holds a range of documents in ascending order of id: the ids one after another
+A file holds a range of documents in ascending order of id, about FILE_IDS ids of them
+(a task closes one and begins the next): the ids one after another
 in 16 or 32 bits, and the n+1 boundaries, a monotone sequence up to the number of ids,
 in Elias-Fano form: floor(log2(u/n)) low bits of each as they are, the rest in unary,
 about 2 + log2(u/n) bits a boundary. A directory of set bits, one 32-bit count for each
@@ -15,8 +16,9 @@ Texts are encoded by the tokenizers library word by word, each distinct word onc
 tokenizer splits at white space, so a text's ids are those of its words in turn.
 
 Defined results: a null or empty text has the end id only; null document ids come
-first; documents of one id are ordered by the hash of their text; an empty table writes
-no files and gives no rows.
+first; documents of one id are ordered by the hash of their text; repeated rows are each
+written; a very long text is one document of one file; other columns are not read; an
+empty table writes no files and gives no rows.
 """
 
 from __future__ import annotations
@@ -35,10 +37,14 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm import words as W
 from corpusloom.llm.packed import pack, unpack
-from corpusloom.session import scratch, table
+from corpusloom.session import parts_for, scratch, table
 from corpusloom.sources.files import read_bytes, replacing
 
 END_ID = 1
+#: A file is closed with the first document that brings it to so many ids.
+FILE_IDS = 1 << 24
+#: Documents of a file that are read at a time.
+READ_DOCS = 1 << 13
 MAGIC = b"LOOMEF01"
 BLOCK_BITS = 512
 NO_ID = -(1 << 63)
@@ -194,41 +200,53 @@ def _write(folder: str, tokenizer: str):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        part = TaskContext.get().partitionId()
+        part, number = TaskContext.get().partitionId(), 0
         names, counts, ids = [], [], []
+
+        def closed() -> pa.RecordBatch:
+            nonlocal number
+            path, flat = f"{folder}/part-{part:06d}-{number:04d}.tokens", np.concatenate(ids)
+            with replacing(path) as out:
+                out.write(file_bytes(np.array(names, np.int64), np.concatenate(counts), flat))
+            row = {"part": part, "number": number, "path": path, "docs": len(names), "ids": len(flat)}
+            number += 1
+            for kept in (names, counts, ids):
+                kept.clear()
+            return pa.RecordBatch.from_pylist([row])
+
         for batch in batches:
             for first, texts in W.steps(batch, "text"):
                 own, n = word_ids(tokenizer).encode(texts, END_ID)
                 ids.append(own.astype(np.uint16 if own.max() < 1 << 16 else np.uint32))
                 counts.append(n)
                 names += [NO_ID if x is None else x for x in batch.column("doc_id").slice(first, len(texts)).to_pylist()]
+                if sum(map(len, ids)) >= FILE_IDS:
+                    yield closed()
         if names:
-            path = f"{folder}/part-{part:06d}.tokens"
-            flat = np.concatenate(ids)
-            with replacing(path) as out:
-                out.write(file_bytes(np.array(names, np.int64), np.concatenate(counts), flat))
-            yield pa.RecordBatch.from_pylist([{"part": part, "path": path, "docs": len(names), "ids": len(flat)}])
+            yield closed()
 
     return write
 
 
 def write_token_files(docs: DataFrame, folder: str, tokenizer: str, doc_id: str = "doc_id", text: str = "text", parts: int | None = None) -> list[dict]:
-    """Encode and write; the files' part, path, docs and ids in ascending order."""
-    n = parts or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    """Encode and write; the files' part, number, path, docs and ids in ascending order."""
+    n = parts or parts_for(docs)
     narrow = docs.select(F.col(doc_id).cast("long").alias("doc_id"), W.as_bytes(text).alias("text"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("tie"))
     dealt = narrow.repartitionByRange(n, "doc_id", "tie").sortWithinPartitions("doc_id", "tie").select("doc_id", "text")
-    files = dealt.mapInArrow(_write(folder, tokenizer), "part long, path string, docs long, ids long").collect()  # one row a file
-    return sorted((r.asDict() for r in files), key=lambda r: r["part"])
+    files = dealt.mapInArrow(_write(folder, tokenizer), "part long, number long, path string, docs long, ids long").collect()  # one row a file
+    return sorted((r.asDict() for r in files), key=lambda r: (r["part"], r["number"]))
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in batch.to_pylist():
             f = TokenFile(read_bytes(row["path"]))
-            ends = f.offsets(0, f.n)
-            crc = [zlib.crc32(f.ids[a:b].astype("<u4").tobytes()) for a, b in zip(ends, ends[1:])]
-            names = pa.array(f.doc_ids, mask=f.doc_ids == NO_ID)
-            yield pa.RecordBatch.from_arrays([names, pa.array(ends[:-1] + row["start"]), pa.array(np.diff(ends)), pa.array(crc, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
+            for first in range(0, f.n, READ_DOCS):  # a block's boundaries are looked up at a time
+                last = min(f.n, first + READ_DOCS)
+                ends, own = f.offsets(first, last), f.doc_ids[first:last]
+                crc = [zlib.crc32(f.ids[a:b].astype("<u4").tobytes()) for a, b in zip(ends, ends[1:])]
+                names = pa.array(own, mask=own == NO_ID)
+                yield pa.RecordBatch.from_arrays([names, pa.array(ends[:-1] + row["start"]), pa.array(np.diff(ends)), pa.array(crc, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
 
 def read_token_files(spark, files: list[dict]) -> DataFrame:
