@@ -40,7 +40,7 @@ BLOCK = 14 << 20
 #: Tokens whose probabilities are computed at once.
 SLICE = 1 << 18
 FOLDS, HELD_OUT, DELETED = 10, 0, 1
-CONTEXT_BUCKETS = 16
+CONTEXT_BUCKETS = 48
 #: Bins of a log-ratio: quarters of a bit, up to 2**±RANGE.
 FINE, RANGE = 4, 48
 NONE = -FINE * RANGE - 1
