@@ -27,10 +27,13 @@ def casefolded(s: pd.Series) -> pd.Series:
 
 
 def normalize(c: Column, variant: str = "words") -> Column:
-    """Lower case, then by variant: words keeps letters, digits, _ and %; alnum drops
-    other signs in place; alnum_dash maps dashes first; spaces only collapses."""
-    low = F.lower(c)
-    if variant == "words":
+    """Lower case, then by variant: words keeps letters, digits, _ and %, as words_dash does
+    with dashes mapped first; signs puts blanks for what is no letter, digit or _; alnum
+    drops other signs in place; alnum_dash maps dashes first; spaces only collapses."""
+    low = F.regexp_replace(F.lower(c), "[–—]", "-") if variant == "words_dash" else F.lower(c)
+    if variant == "signs":
+        return F.trim(F.regexp_replace(low, r"[^\p{L}\p{N}_]+", " "))
+    if variant in ("words", "words_dash"):
         return F.trim(F.regexp_replace(low, r"[^\p{L}\p{N}_%]+", " "))
     if variant in ("alnum", "alnum_dash"):
         low = F.regexp_replace(low, "[–—]", "-") if variant == "alnum_dash" else low

@@ -10,11 +10,21 @@ from pyspark.sql.window import Window
 
 
 def hash_ranked(df: DataFrame, group: str, key: str, salt: str, share: Column) -> DataFrame:
-    """Of each group the first floor(share * size) rows by the hash of salt and key."""
+    """Of each group the first floor(share * size) rows by the hash of salt and key.
+
+    The hash's first digits make 4,096 ranges of a group. Their counts tell which range
+    the cut falls in; rows are ranked inside a range only, so that no task sorts a group.
+    Null groups are a group."""
     rank_key = F.sha2(F.concat_ws("\u0000", F.lit(salt), F.col(group).cast("string"), F.col(key).cast("string")), 256)
-    w = Window.partitionBy(group)
-    ranked = df.withColumn("__r", F.row_number().over(w.orderBy(rank_key, key))).withColumn("__n", F.count(F.lit(1)).over(w))
-    return ranked.where(F.col("__r") <= F.floor(F.col("__n") * share)).drop("__r", "__n")
+    ranged = df.withColumn("__h", rank_key).withColumn("__p", F.substring("__h", 1, 3))
+    counts = ranged.groupBy(F.col(group).alias("__g"), F.col("__p").alias("__q")).agg(F.count(F.lit(1)).alias("__n"))
+    w = Window.partitionBy("__g")
+    before = F.coalesce(F.sum("__n").over(w.orderBy("__q").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    need = F.floor(F.sum("__n").over(w) * share) - before
+    open_ = counts.select("__g", "__q", need.alias("__need")).where("__need > 0")
+    j = ranged.join(open_, F.col(group).eqNullSafe(F.col("__g")) & (F.col("__p") == F.col("__q")))
+    place = F.row_number().over(Window.partitionBy("__g", "__q").orderBy("__h", key))
+    return j.withColumn("__r", place).where("__r <= __need").select(*df.columns)
 
 
 def quotas(counts: DataFrame, group: str, n: str, total: int) -> DataFrame:

@@ -217,3 +217,50 @@ def carried_failures(old: str = "old", new: str = "new", fields: tuple[str, ...]
 def explicit_normal_conflicts(intent: Column, all_normal: Column, any_normal: Column, abnormality_present: Column) -> Column:
     """Conflicts between a plan's intent and facts that say that all is normal."""
     return codes((any_normal & (intent == "abnormality"), "abnormality_answer_includes_explicit_normal_fact"), (all_normal & (intent == "abnormality_presence") & F.coalesce(abnormality_present, F.lit(False)), "abnormality_true_contradicts_explicit_normal_facts"))
+
+
+def schema_failures(fields: dict[str, str], patterns: dict[str, str], allowed: dict[str, list[str]], record: str = "record") -> Column:
+    """Failures of JSON text that is to be an object of exactly these fields.
+
+    fields: the type of each value (string, number, boolean, array, object; a "?" after it
+    allows null); patterns and allowed: what strings must look like or be."""
+    c = F.col(record)
+    keys = F.json_object_keys(c)
+    raw = F.from_json(c, "map<string,string>")
+    kind = {"string": "STRING", "number": "(BIGINT|DOUBLE|DECIMAL)", "boolean": "BOOLEAN", "array": "ARRAY", "object": "(STRUCT|OBJECT)"}
+    rules: list[tuple[Column, str | Column]] = [(keys.isNull(), "not_an_object")]
+    extra = F.array_sort(F.array_except(keys, F.array(*map(F.lit, fields))))
+    rules.append((F.size(extra) > 0, F.concat(F.lit("additional_fields:"), F.array_join(extra, ","))))
+    for name, type_ in fields.items():
+        has_ = F.array_contains(keys, name)
+        said = F.schema_of_variant(F.try_variant_get(F.try_parse_json(c), f"$.{name}", "variant"))
+        null = F.coalesce(raw[name].isNull() | (said == "VOID"), F.lit(True))
+        rules.append((keys.isNotNull() & ~has_, f"missing_field:{name}"))
+        wrong = ~said.rlike("^" + kind[type_.rstrip("?")])
+        rules.append((has_ & F.when(null, F.lit(not type_.endswith("?"))).otherwise(wrong), f"wrong_type:{name}"))
+        if name in patterns:
+            rules.append((has_ & ~null & ~raw[name].rlike(patterns[name]), f"pattern:{name}"))
+        if name in allowed:
+            rules.append((has_ & ~null & ~raw[name].isin(*allowed[name]), f"not_allowed:{name}"))
+    return codes(*rules)
+
+
+def realization_failures(fields: tuple[str, ...], plan: str = "plan", response: str = "response", terms: str = "terms") -> Column:
+    """Failures of a response (struct) to a plan (struct): not accepted, text that lacks, a
+    changed protected field (an echo of the same is ignored), an answer told by the
+    question, and terms that the reason lacks."""
+    p, r = (lambda f, s=s: F.col(f"{s}.{f}") for s in (plan, response))
+    rules = [(~p("protected_sha256").eqNullSafe(seal(**{f: p(f) for f in fields})), "invalid_blueprint_seal"), (~r("qa_id").eqNullSafe(p("qa_id")), "qa_id_mismatch"), (~r("status").eqNullSafe(F.lit("accepted")), "not_accepted")]
+    rules += [(missing(r(f)), f"missing_{f}") for f in ("question", "reason")]
+    rules += [(r(f).isNotNull() & (r(f) != p(f)), f"protected_field_mutation:{f}") for f in fields if f != "qa_id"]
+    rules.append((text.leaks_answer(r("question"), p("answer")), "answer_leakage_in_question"))
+    lost = F.filter(F.col(f"{plan}.{terms}"), lambda t: ~F.coalesce(has(r("reason"), t), F.lit(False)))
+    return F.array_sort(F.concat(codes(*rules), coded("missing_reason_fact_term:", lost)))
+
+
+def carry_split(plans: DataFrame, failures: Column) -> tuple[DataFrame, DataFrame]:
+    """(carried, repair): rows of structs old and new whose contract is unchanged and whose
+    carry-forward has no failure, and the others with what they come from."""
+    marked = plans.withColumn("failures", failures)
+    same = (F.col("new.migration_status") == "carried_forward_unchanged_contract") & (F.size("failures") == 0)
+    return marked.where(same), marked.where(~F.coalesce(same, F.lit(False)))

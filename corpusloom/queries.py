@@ -45,9 +45,10 @@ def hash_ranked_half(spark, d):
 
 
 @query(rf"""SELECT doc_id, sha256({NORM}) AS words, sha256(trim(regexp_replace(regexp_replace(lower(text), '[^\p{{L}}\p{{N}}\s]', '', 'g'), '\s+', ' ', 'g'))) AS alnum,
-    sha256(trim(regexp_replace(lower(text), '\s+', ' ', 'g'))) AS spaces FROM documents""")
+    sha256(trim(regexp_replace(regexp_replace(replace(replace(lower(text), '–', '-'), '—', '-'), '[^\p{{L}}\p{{N}}\s]', '', 'g'), '\s+', ' ', 'g'))) AS alnum_dash, sha256(trim(regexp_replace(lower(text), '[^\p{{L}}\p{{N}}_]+', ' ', 'g'))) AS signs,
+    sha256({NORM}) AS words_dash, sha256(trim(regexp_replace(lower(text), '\s+', ' ', 'g'))) AS spaces FROM documents""")
 def normalize_variants(spark, d):
-    return table(spark, d, "documents").select("doc_id", *(F.sha2(text.normalize(F.col("text"), v), 256).alias(v) for v in ("words", "alnum", "spaces")))
+    return table(spark, d, "documents").select("doc_id", *(F.sha2(text.normalize(F.col("text"), v), 256).alias(v) for v in ("words", "alnum", "alnum_dash", "signs", "words_dash", "spaces")))
 
 
 @query(f"""WITH n AS (SELECT doc_id, lang, {NORM} AS norm FROM documents), m AS (SELECT *, min(doc_id) OVER (PARTITION BY lang, norm) AS kept FROM n)

@@ -356,3 +356,38 @@ def carried_candidates(spark, d):
     new = plans.withColumns({"answer": F.when(b == 0, F.lit("else")).otherwise(F.col("answer")), "protected_sha256": F.when(b == 1, F.lit("x")).otherwise(F.col("protected_sha256"))}).select("qa_id", F.struct("*").alias("new"))
     return old.join(new, "qa_id").select("qa_id", audit.carried_failures().alias("failures"))
 
+
+
+@query("""SELECT event_id, list_sort(list_filter([CASE WHEN event_id % 7 = 0 THEN 'additional_fields:x' END, CASE WHEN event_id % 5 = 0 THEN 'missing_field:kind' END, CASE WHEN event_id % 3 = 0 THEN 'wrong_type:k' END,
+    CASE WHEN event_id % 5 > 0 AND event_type = 'error' THEN 'not_allowed:kind' END, CASE WHEN user_id >= 100 THEN 'pattern:id' END], lambda x: x IS NOT NULL)) AS failures FROM events""")
+def schema_failures(spark, d):
+    k, i = F.get_json_object("props", "$.k"), F.col("event_id")
+    kind = F.when(i % 5 > 0, F.concat(F.lit(', "kind": "'), F.col("event_type"), F.lit('"'))).otherwise("")
+    record = F.concat(F.lit('{"id": "image_'), F.col("user_id"), F.lit('", "k": '), F.when(i % 3 == 0, F.concat(F.lit('"'), k, F.lit('"'))).otherwise(k), kind, F.lit(', "none": null'), F.when(i % 7 == 0, F.lit(', "x": [1]')).otherwise(""), F.lit("}"))
+    rules = audit.schema_failures({"id": "string", "k": "number", "kind": "string", "none": "object?"}, {"id": r"^image_[0-9]{1,2}$"}, {"kind": ["view", "click", "signup", "purchase"]})
+    return table(spark, d, "events").select("event_id", record.alias("record")).select("event_id", rules.alias("failures"))
+
+
+@query(f"""WITH {CANDIDATES} SELECT qa_id, list_sort(list_concat(list_filter([CASE WHEN b = 7 THEN 'qa_id_mismatch' END, CASE WHEN b = 9 THEN 'not_accepted' END, CASE WHEN cq IS NULL THEN 'missing_question' END, CASE WHEN cr = '' THEN 'missing_reason' END, CASE WHEN b = 10 THEN 'protected_field_mutation:answer' END,
+    CASE WHEN contains({norm('cq')}, {norm('answer')}) AND {norm('answer')} <> '' THEN 'answer_leakage_in_question' END], lambda v: v IS NOT NULL), list_transform(list_filter(terms, lambda t: NOT contains({norm('cr')}, {norm('t')})), lambda t: 'missing_reason_fact_term:' || t))) AS failures FROM c""")
+def realization_contract(spark, d):
+    plans = written(_merged(spark, d), "plans")
+    said = plans.join(_candidates(plans), "qa_id")
+    b = ids.hash_bucket(F.col("qa_id"), 12)
+    echo = {f: F.lit(None).cast(plans.schema[f].dataType) for f in blueprints.PROTECTED}
+    echo |= {"qa_id": F.when(b == 7, "x").otherwise(F.col("qa_id")), "answer": F.when(b == 10, F.lit("other")).when(b == 11, F.col("answer")), "structured": F.col("structured")}
+    response = F.struct(*(c.alias(n) for n, c in echo.items()), F.when(b == 9, "review_required").otherwise("accepted").alias("status"), F.col("candidate_question").alias("question"), F.col("candidate_reason").alias("reason"))
+    rows = said.select("qa_id", F.struct(*plans.columns).alias("plan"), response.alias("response"))
+    return rows.select("qa_id", audit.realization_failures(blueprints.PROTECTED).alias("failures"))
+
+
+@query(f"""WITH {FAILED}, z AS (SELECT qa_id, bool_or(concept = 'view') AS n FROM (SELECT qa_id, unnest(fact_ids) AS fact_id FROM q WHERE intent = 'abnormality') JOIN f USING (fact_id) GROUP BY 1)
+    SELECT e.qa_id, CASE WHEN NOT coalesce(z.n, FALSE) AND NOT (cq IS NULL OR cr = '' OR {norm('coalesce(cq, chr(1))')} = {norm('question')} OR {norm('cr')} = {norm('reason')} OR len(list_filter(terms, lambda t: NOT contains({norm('cr')}, {norm('t')}))) > 0) THEN 'carried' ELSE 'repair' END AS route FROM e LEFT JOIN z USING (qa_id)""")
+def carried_or_repaired(spark, d):
+    f = written(_facts(spark, d), "facts")
+    plans = written(blueprints.merge_attributes(blueprints.build_plans(f, GRADES, "error_grade"), f, "v4.2"), "plans")
+    old = plans.join(_candidates(plans), "qa_id").select("qa_id", F.struct("*").alias("old"))
+    new = blueprints.migrate(plans, f, NORMAL, "v4.3").select(F.col("source_qa_id").alias("qa_id"), F.struct("*").alias("new"))
+    carried, repair = audit.carry_split(old.join(new, "qa_id"), audit.carried_failures())
+    of = lambda df, n: df.select("qa_id", F.lit(n).alias("route"))
+    return of(carried, "carried").unionByName(of(repair, "repair"))
