@@ -76,6 +76,10 @@ class Model:
                 self.bytes[i] = name.replace(MARK, " ").encode()
         pieces = {name: i for i, name in enumerate(names) if not special[i]}
         self.chars = {c: i for c, i in pieces.items() if len(c) == 1 and c != MARK} | {" ": pieces[MARK]}
+        #: The piece of each code point, or -1.
+        self.of_point = np.full(0x110000, -1, np.int32)
+        for c, i in self.chars.items():
+            self.of_point[ord(c)] = i
         order = sorted(pieces.values(), key=lambda i: (-sp.get_score(i), i))
         rank = np.zeros(n, np.int32)
         rank[order] = np.arange(len(order))
@@ -89,14 +93,47 @@ class Model:
         by = np.argsort(keys)
         self.keys, self.merged = np.array(keys, np.int64)[by], np.array(merged, np.int32)[by]
         self.rank = rank
+        self._hashed()
+        self.piece_size = np.fromiter(map(len, self.bytes), np.int64, n)
+        self.piece_start = np.cumsum(self.piece_size) - self.piece_size
+        self.piece_bytes = np.frombuffer(b"".join(self.bytes), np.uint8)
         self.pairs: dict[int, int] = {}
 
     def unions(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """The piece of each pair's union, or -1. Negative ids have none."""
         key = a.astype(np.int64) * self.size + b
         key[(a < 0) | (b < 0)] = -1
-        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-        return np.where(self.keys[at] == key, self.merged[at], -1)
+        at = self._slot(key)
+        got = self.slot_key[at]
+        out = self.slot_union[at]
+        wrong = np.flatnonzero(got != key)
+        out[wrong] = -1
+        wrong = wrong[got[wrong] >= 0]  # a slot that another pair has: look at the next
+        while len(wrong):
+            at[wrong] = (at[wrong] + 1) & self.slot_mask
+            got = self.slot_key[at[wrong]]
+            hit = got == key[wrong]
+            out[wrong[hit]] = self.slot_union[at[wrong[hit]]]
+            wrong = wrong[~hit & (got >= 0)]
+        return out
+
+    def _slot(self, key: np.ndarray) -> np.ndarray:
+        return (key.view(np.uint64) * W.MIX1 >> self.slot_shift).astype(np.int64)
+
+    def _hashed(self) -> None:
+        """The pairs in a table of which a quarter is used at most, so that a look-up takes
+        one step, seldom more."""
+        bits = max(4, (4 * len(self.keys) - 1).bit_length())
+        self.slot_shift, self.slot_mask = np.uint64(64 - bits), (1 << bits) - 1
+        self.slot_key, self.slot_union = np.full(1 << bits, -1, np.int64), np.full(1 << bits, -1, np.int32)
+        left, at = np.arange(len(self.keys)), self._slot(self.keys)
+        while len(left):
+            _, first = np.unique(at, return_index=True)
+            first = first[self.slot_key[at[first]] < 0]
+            self.slot_key[at[first]], self.slot_union[at[first]] = self.keys[left[first]], self.merged[left[first]]
+            stay = np.ones(len(left), bool)
+            stay[first] = False
+            left, at = left[stay], (at[stay] + 1) & self.slot_mask
 
 
 @lru_cache(maxsize=2)
@@ -113,7 +150,7 @@ def segment(m: Model, words: list[str], skipped: list[tuple[int, ...]] | None =
     """
     chars = "".join(words)
     sizes = np.fromiter(map(len, words), np.int64, len(words))
-    ids = np.fromiter((m.chars.get(c, -1) for c in chars), np.int32, len(chars))
+    ids = m.of_point[np.frombuffer(chars.encode("utf-32-le"), np.uint32)]
     word = np.repeat(np.arange(len(words)), sizes)
     first = np.arange(len(chars))  # a symbol's first character, in chars
     base = np.cumsum(sizes) - sizes
@@ -422,6 +459,18 @@ def decode(m: Model, ids: np.ndarray) -> bytes:
     return b"".join(map(m.bytes.__getitem__, ids.tolist()))[1:]
 
 
+def lossless(m: Model, found: list[np.ndarray], flat: np.ndarray, texts: list[bytes]) -> list[bool]:
+    """Whether each text's ids decode to it; flat has all ids. All are decoded at once, and
+    one by one only if some are not as they should be."""
+    size = m.piece_size[flat]
+    ends = np.cumsum([0, *map(len, found)])
+    upto = np.append(0, np.cumsum(size))[ends]
+    if np.array_equal(np.diff(upto), [len(t) + bool(t) for t in texts]):
+        if m.piece_bytes[ranges(m.piece_start[flat], size)].tobytes() == b"".join(b" " + t for t in texts if t):
+            return [True] * len(texts)
+    return [decode(m, ids) == t for ids, t in zip(found, texts)]
+
+
 def _encoded(path: str, text: str, rate: float, seed: int):
     @W.trimming
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -431,9 +480,10 @@ def _encoded(path: str, text: str, rate: float, seed: int):
             for first, texts in W.steps(batch, text):
                 own = batch.slice(first, len(texts))
                 found = encoder.encode([b.decode() for b in texts], own.column("variant").to_pylist())
-                whole = [decode(m, ids) == b for ids, b in zip(found, texts)]
+                flat = np.concatenate(found).astype(np.int32)
+                whole = lossless(m, found, flat, texts)
                 rest = own.drop_columns(text)
-                ids = pa.ListArray.from_arrays(np.cumsum([0, *map(len, found)]).astype(np.int32), np.concatenate(found).astype(np.int32))
+                ids = pa.ListArray.from_arrays(np.cumsum([0, *map(len, found)]).astype(np.int32), flat)
                 crc = pa.array([zlib.crc32(x.astype("<u4").tobytes()) for x in found], pa.int64())
                 yield pa.RecordBatch.from_arrays([*rest.columns, ids, pa.array(list(map(len, found)), pa.int64()), crc, pa.array(whole, pa.bool_())], names=[*rest.schema.names, *ADDED])
 
