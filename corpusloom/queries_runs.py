@@ -102,8 +102,8 @@ def simhash_near_dups(spark, d):
     """Documents whose 60-bit SimHashes of their distinct words differ in three bits or
     fewer; documents without words have none."""
     words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"([\p{L}\p{N}]+)"), F.lit(1)))
-    rows = table(spark, d, "documents").select("doc_id", words.alias("w")).where("size(w) > 0")
-    return similar.hamming_pairs(rows.select("doc_id", similar.simhash(F.col("w"), 60).alias("code")), "doc_id", "code", 3)
+    codes = similar.simhash(table(spark, d, "documents"), "doc_id", words)
+    return similar.hamming_pairs(codes, "doc_id", "code", 3)
 
 
 @query("""WITH d AS (SELECT doc_id, lang, quality, toxic FROM documents JOIN labels USING (doc_id)) SELECT lang, count(*) AS n, sha256(string_agg(doc_id || chr(0) || quality || chr(0) || toxic, chr(10) ORDER BY doc_id)) AS sha256 FROM d GROUP BY 1""")

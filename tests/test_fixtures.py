@@ -114,8 +114,9 @@ def test_text(spark):
 
 
 def test_simhash(spark):
-    df = spark.createDataFrame([(1, ["a", "b", "c"]), (2, ["c", "b", "a"]), (3, ["z"])], "k long, w array<string>").select("k", similar.simhash(F.col("w")).alias("c"))
-    got = {r.k: r.c for r in df.collect()}
+    df = spark.createDataFrame([(1, ["a", "b", "c"]), (2, ["c", "b", "a"]), (3, ["z"]), (4, [])], "k long, w array<string>")
+    got = {r.k: r.code for r in similar.simhash(df, "k", F.col("w")).collect()}
+    assert set(got) == {1, 2, 3}
     import hashlib
 
     hashes = [int(hashlib.sha256(w.encode()).hexdigest()[:15], 16) for w in "abc"]
