@@ -67,23 +67,32 @@ def build_facts(regions: DataFrame, image: str, region: str, specs: list[Spec],
     """One row for each fact of each region: the specs with a value, and its places, which
     are never asked about. A parent's id is computed from the same row, so nothing is
     joined or shuffled."""
-    own, none = F.col(region), F.lit(None).cast("string")
-    ids = [F.when(s.value.isNotNull(), fact_id(F.col(image), own, F.lit(s.kind), s.concept, s.value, s.polarity)) for s in specs]
+    own = F.col(region)
+    up = ("kind", "concept", "value", "polarity")
+    no_parent = F.lit(None).cast("struct<kind:string,concept:string,value:string,polarity:string>")
 
-    def row(kind, concept, family, value, surface, polarity, id_, parent, eligible):
-        cells = (F.lit(kind), concept, family, value, surface, polarity, id_, parent, accepted & F.lit(eligible))
-        return F.struct(*(c.alias(n) for c, n in zip(cells, (*FACT, "fact_id", "parent_fact_id", "eligible"))))
+    def row(s: Spec, parent: Column) -> Column:
+        cells = (F.lit(s.kind), s.concept, s.family, s.value, s.surface, s.polarity, parent, accepted & F.lit(s.eligible))
+        return F.struct(*(c.alias(n) for c, n in zip(cells, (*FACT, "parent", "eligible"))))
 
-    facts = F.array(*(row(s.kind, s.concept, s.family, s.value, s.surface, s.polarity, i, none if s.parent is None else ids[s.parent], s.eligible) for s, i in zip(specs, ids)))
+    def above(s: Spec) -> Column:
+        if s.parent is None:
+            return no_parent
+        p = specs[s.parent]
+        return F.when(p.value.isNotNull(), F.struct(*(c.alias(n) for n, c in zip(up, (F.lit(p.kind), p.concept, p.value, p.polarity)))))
 
     def place(p: Column) -> Column:
-        value = F.concat(F.lit('"'), p, F.lit('"'))
-        return row("anatomy", p, F.lit("anatomy"), value, p, F.lit("present"), fact_id(F.col(image), own, F.lit("anatomy"), p, value, F.lit("present")), none, False)
+        return row(Spec("anatomy", p, F.lit("anatomy"), F.concat(F.lit('"'), p, F.lit('"')), p, F.lit("present"), eligible=False), no_parent)
 
+    facts = F.array(*(row(s, above(s)) for s in specs))
     sorted_places = F.array_sort(F.array_distinct(places))
     every = F.concat(F.filter(facts, lambda f: f["value"].isNotNull()), F.transform(sorted_places, place))
     rows = regions.select(F.col(image).alias("image_id"), own.alias("region_id"), sorted_places.alias("places"), F.array(own).alias("evidence"), every.alias("__facts"))
-    return rows.select("image_id", "region_id", "places", "evidence", F.inline("__facts"))
+    rows = rows.select("image_id", "region_id", "places", "evidence", F.inline("__facts"))
+    # ids are worked out once for each fact, from its own row
+    id_ = lambda at: fact_id(F.col("image_id"), F.col("region_id"), *(F.col(f"{at}{c}") for c in up))
+    rows = rows.withColumns({"fact_id": id_(""), "parent_fact_id": F.when(F.col("parent").isNotNull(), id_("parent."))})
+    return rows.select("image_id", "region_id", "places", "evidence", *FACT, "fact_id", "parent_fact_id", "eligible")
 
 
 def image_state_facts(images: DataFrame, image: str, state: Column, concept: str, surface: str, evidence: Column, accepted: Column) -> DataFrame:
