@@ -80,11 +80,12 @@ def integrity_join(spark, d):
 
 
 @query("""WITH p AS (SELECT o_custkey, o_orderkey, o_orderstatus, o_orderpriority FROM orders)
-    SELECT o_custkey, list({'o_orderstatus': o_orderstatus, 'o_orderpriority': o_orderpriority} ORDER BY o_orderkey) AS rows FROM p GROUP BY 1""")
+    SELECT o_custkey, list(o_orderstatus ORDER BY o_orderkey) AS statuses, list(o_orderpriority ORDER BY o_orderkey) AS priorities FROM p GROUP BY 1""")
 def regions_renested(spark, d):
     o = table(spark, d, "orders")
     c = o.groupBy("o_custkey").agg(F.array_sort(F.collect_list("o_orderkey")).alias("keys"))
-    return relate.renested(c, "o_custkey", "keys", o, "o_orderkey", ["o_orderstatus", "o_orderpriority"])
+    rows = relate.renested(c, "o_custkey", "keys", o, "o_orderkey", ["o_orderstatus", "o_orderpriority"])
+    return rows.select("o_custkey", F.transform("rows", lambda r: r["o_orderstatus"]).alias("statuses"), F.transform("rows", lambda r: r["o_orderpriority"]).alias("priorities"))
 
 
 @query("SELECT l_returnflag, count(*) AS n FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'P') GROUP BY 1")
